@@ -30,15 +30,18 @@ def month_name(month: Column | str) -> Column:
 
 
 def calendar_columns(
-    df: DataFrame, date_col: str = "Date", fmt: str = DAY_FIRST, drop: bool = True
+    df: DataFrame,
+    date_col: str = "Date",
+    fmt: str = DAY_FIRST,
+    year: str = "sold_year",
+    month: str = "sold_month",
+    drop: bool = True,
 ) -> DataFrame:
-    """Add ``Year``/``Month`` numbers derived from a date text column."""
-    date = parse_date(df[date_col], fmt)
-    # `year` may already exist in another case, so the names are spelled out
-    # and resolved once instead of going through withColumn's replace rule.
-    kept = [df[f"`{c}`"] for c in df.columns if not (drop and c == date_col)]
-    return df.select(
-        *kept,
-        F.month(date).alias("Month"),
-        F.year(date).alias("Year"),
-    )
+    """Add year and month numbers of a date text column and drop the text.
+
+    Spark column names ignore case, so the default names differ from a
+    ``year`` column that market tables already have.
+    """
+    date = parse_date(date_col, fmt)
+    out = df.withColumns({month: F.month(date), year: F.year(date)})
+    return out.drop(date_col) if drop else out

@@ -63,7 +63,7 @@ class DummyEncoder(Estimator, _Dummies, DefaultParamsReadable, DefaultParamsWrit
             handleInvalid=self.getOrDefault(self.handleInvalid),
             levels=json.dumps(levels),
         )
-        return model.setParent(self)
+        return model
 
 
 class DummyEncoderModel(Model, _Dummies, DefaultParamsReadable, DefaultParamsWritable):
@@ -136,7 +136,7 @@ class PopulationScaler(Estimator, _Scaler, DefaultParamsReadable, DefaultParamsW
             inputCols=cols,
             means=[float(v) for v in row[:len(cols)]],
             stds=[float(v) for v in row[len(cols):]],
-        ).setParent(self)
+        )
 
 
 class PopulationScalerModel(Model, _Scaler, DefaultParamsReadable, DefaultParamsWritable):
