@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.calendar import DAY_FIRST, month_name, parse_date
+from ..session import small_side
 from .quantiles import ROW_LIMIT, exact_quantiles
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
@@ -117,8 +118,7 @@ def box_stats(
         by, "n", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
         (q[0] - reach).alias("low_fence"), (q[2] + reach).alias("high_fence"),
     )
-    # one row per group; AQE broadcasts it when its measured size allows
-    joined = df.select(_c(by).alias(by), _c(value).alias("x")).join(fences, by)
+    joined = df.select(_c(by).alias(by), _c(value).alias("x")).join(small_side(fences), by)
     x = F.col("x")
     inside = x.between(F.col("low_fence"), F.col("high_fence"))
     return joined.groupBy(by, "n", "q1", "median", "q3").agg(

@@ -15,19 +15,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, small_side
 
 ROW_LIMIT = 1 << 18     # rows per group the built-in aggregate may hold
 BINS = 4096             # bins per narrowing pass
-BROADCAST_ROWS = 100_000
 MAX_PASSES = 64
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint for an interval table of counted size, else a plain join."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -57,7 +51,7 @@ def exact_quantiles(
     if n_big:
         parts.append(_narrowed(rows, big, list(probs), names))
         if names:
-            small = rows.join(_small(big.select(*names), n_big), names, "left_anti")
+            small = rows.join(small_side(big.select(*names), n_big), names, "left_anti")
         else:
             small = None
     if small is not None:
@@ -140,7 +134,7 @@ def _values_at_ranks(rows: DataFrame, targets: DataFrame, names: list[str]) -> D
         )
         wanted = F.col("rank") - F.col("below")
         pending = cut_lineage(
-            counts.join(_small(pending, n_pending), span)
+            counts.join(small_side(pending, n_pending), span)
             .where((wanted >= F.col("before")) & (wanted < F.col("before") + F.col("inside")))
             .select(
                 *names, "rank",
@@ -162,7 +156,7 @@ def _inside(rows: DataFrame, spans: DataFrame, n_spans: int, names: list[str]) -
     """
     lists = spans.groupBy(*names).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     if names:
-        joined = rows.join(_small(lists, n_spans), names)
+        joined = rows.join(small_side(lists, n_spans), names)
     else:
         # one ungrouped list: a literal, read once as a scalar subquery
         joined = rows.withColumn("spans", lists.scalar())

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+BROADCAST_ROWS = 100_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -59,3 +61,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A join side that is broadcast only while its counted rows stay small.
+
+    Past the limit it is joined as it is: Spark shuffles both sides and AQE
+    splits skewed partitions.
+    """
+    if rows is None:
+        df = cut_lineage(df)
+        rows = df.count()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
