@@ -10,13 +10,13 @@ METRICS = ("mae", "mse", "rmse", "r2")
 def metric_columns(label: Column | str = "label", prediction: Column | str = "prediction") -> list[Column]:
     """rows, MAE, MSE, RMSE and R2 of a group of predictions.
 
-    Rows lacking a label or a prediction do not count. R2 is null when the
+    Rows lacking a label or a prediction (null or NaN) do not count. R2 is null when the
     label is constant. The deviation of the label is taken as a variance, not
     as a difference of large sums.
     """
     y = F.col(label) if isinstance(label, str) else label
     p = F.col(prediction) if isinstance(prediction, str) else prediction
-    error = y - p
+    error = y - F.nanvl(p.cast("double"), F.lit(None).cast("double"))
     scored = F.when(error.isNotNull(), y)
     spread = F.var_pop(scored)
     mse = F.avg(error * error)

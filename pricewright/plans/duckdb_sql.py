@@ -43,7 +43,6 @@ MONTH_CASE = "CASE shipped_month " + " ".join(
     f"WHEN {k} THEN '{v}'" for k, v in MONTHS.items()
 ) + " END"
 TYPE_CASE = "CASE \"type\" WHEN 'conventional' THEN 0 WHEN 'organic' THEN 1 END::int"
-PRICE = 'round("AveragePrice", 6) AS "AveragePrice"'
 
 
 def _q(name: str) -> str:
@@ -55,7 +54,7 @@ def _with(body: str, *more: str) -> str:
 
 
 def _columns(names: list[str]) -> str:
-    return ", ".join(PRICE if n == "AveragePrice" else _q(n) for n in names)
+    return ", ".join(_q(n) for n in names)
 
 
 def _dummies(expr: str, prefix: str, levels: list[str]) -> str:
@@ -127,7 +126,7 @@ SQL: dict[str, str] = {
         f"SELECT row_key, bucket, {_columns(FILE_COLUMNS)} FROM market ORDER BY row_key LIMIT 20"
     ),
     "q_feature_sql": _with(
-        f'SELECT row_key, {PRICE}, "type", '
+        'SELECT row_key, "AveragePrice", "type", '
         + ", ".join(f'round(ln({_q(c)} + 1), 8) AS {_q("LOG " + c)}' for c in LOGS)
         + ', "year", shipped_month AS "month" FROM market'
     ),

@@ -121,16 +121,23 @@ def fit_comparison_features(train: DataFrame, fmt: str = DAY_FIRST) -> PipelineM
     return PipelineModel(stages=[*fitted.stages, comparison_assembler(fitted)])
 
 
-def for_scoring(model: PipelineModel, handle_invalid: str = "keep") -> PipelineModel:
+def for_scoring(
+    model: PipelineModel, handle_invalid: str = "keep", keep: Sequence[str] = ()
+) -> PipelineModel:
     """A copy of a fitted pipeline that does not fail on null or unseen values.
 
     'keep' gives unseen types their own index and nulls NaN features; 'skip'
-    drops such rows; 'error' is what training uses.
+    drops such rows; 'error' is what training uses. ``keep`` names columns of
+    the scored data that the feature SQL shall pass through.
     """
+    passed = "".join(f"`{c}`, " for c in keep)
+
     def relax(stage):
         if isinstance(stage, PipelineModel):
             return PipelineModel(stages=[relax(s) for s in stage.stages])
         stage = stage.copy()
+        if isinstance(stage, SQLTransformer):
+            stage.setStatement(stage.getStatement().replace("SELECT ", f"SELECT {passed}", 1))
         if stage.hasParam("handleInvalid"):
             stage.set(stage.getParam("handleInvalid"), handle_invalid)
         return stage

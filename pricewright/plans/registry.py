@@ -77,8 +77,7 @@ def _rounded_metrics(df: DataFrame, *first: str) -> DataFrame:
 def q_csv_scan(spark, sf_dir):
     path = new_path(spark, "market-csv")
     write_market_csv(market(spark, sf_dir), path)
-    rows = read_market_csv(spark, path)
-    return rows.withColumn(LABEL, _r(LABEL, 6))
+    return read_market_csv(spark, path)
 
 
 @query
@@ -90,7 +89,7 @@ def q_input_files(spark, sf_dir):
 
 @query
 def q_preview(spark, sf_dir):
-    return profile.preview(market(spark, sf_dir), "row_key", 20).withColumn(LABEL, _r(LABEL, 6))
+    return profile.preview(market(spark, sf_dir), "row_key", 20)
 
 
 # --- projections and scalar functions -----------------------------------------------------
@@ -102,7 +101,7 @@ def q_feature_sql(spark, sf_dir):
         feature_sql(keep=["row_key"]).replace("__THIS__", "{rows}"), rows=market(spark, sf_dir)
     )
     return out.select(
-        "row_key", _r(LABEL, 6).alias(LABEL), "type",
+        "row_key", LABEL, "type",
         *[_r(c, 8).alias(c) for c in out.columns if c.startswith("LOG ")], "year", "month",
     )
 

@@ -45,6 +45,7 @@ def stream_market_csv(
     reader = (
         spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
     )
     if max_files:

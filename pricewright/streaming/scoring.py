@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from ..functions.scalars import micros_per_row
 from ..operators.metrics import metric_columns
+from ..plans.pipelines import for_scoring
 from ..sources.csv import MARKET_SCHEMA, input_files, read_market_csv, stream_market_csv
 
 # Upper edges of the request-size histogram, in bytes.
@@ -56,6 +57,7 @@ def score_stream(
     label: str = "AveragePrice",
     schema: T.StructType = MARKET_SCHEMA,
     max_files: int | None = None,
+    handle_invalid: str = "keep",
 ) -> Scored:
     """Score every file below ``source`` that was not scored yet, then return.
 
@@ -64,11 +66,12 @@ def score_stream(
     repeated after a failure, so no file is counted twice.
     """
     out = Scored.under(target.rstrip("/"))
+    scorer = for_scoring(model, handle_invalid, keep=("file", "bytes"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         begun = time.monotonic()
         part = f"{out.predictions}/batch_id={batch_id}"
-        scored = model.transform(batch)
+        scored = scorer.transform(batch)
         scored.select("file", "bytes", F.col(f"`{label}`"), "prediction").write.mode(
             "overwrite"
         ).parquet(part)
@@ -101,6 +104,7 @@ def score_files(
     target: str,
     label: str = "AveragePrice",
     schema: T.StructType = MARKET_SCHEMA,
+    handle_invalid: str = "keep",
 ) -> DataFrame:
     """Batch form: telemetry of all files below ``source``, empty files included."""
     begun = time.monotonic()
@@ -108,7 +112,8 @@ def score_files(
         "*", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("bytes"),
     )
-    model.transform(rows).select("file", "bytes", F.col(f"`{label}`"), "prediction").write.mode(
+    scorer = for_scoring(model, handle_invalid, keep=("file", "bytes"))
+    scorer.transform(rows).select("file", "bytes", F.col(f"`{label}`"), "prediction").write.mode(
         "overwrite"
     ).parquet(target)
     seconds = time.monotonic() - begun
