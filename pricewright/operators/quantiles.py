@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cut_lineage, small_side
 
-ROW_LIMIT = 1 << 18     # rows per group the built-in aggregate may hold
+ROW_LIMIT = 1 << 20     # rows per group the built-in aggregate may hold
 BINS = 4096             # bins per narrowing pass
 MAX_PASSES = 64
 
@@ -154,16 +154,15 @@ def _inside(rows: DataFrame, spans: DataFrame, n_spans: int, names: list[str]) -
     Intervals of a group do not overlap, so a row matches at most one and the
     join never grows the data.
     """
-    lists = spans.groupBy(*names).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    x = F.col("x")
     if names:
-        joined = rows.join(small_side(lists, n_spans), names)
-    else:
-        # one ungrouped list: a literal, read once as a scalar subquery
-        joined = rows.withColumn("spans", lists.scalar())
-    hit = F.filter(
-        F.col("spans"),
-        lambda s: (F.col("x") >= s.getField("lo")) & (F.col("x") <= s.getField("hi")),
-    )
-    return joined.select(*names, "x", F.get(hit, F.lit(0)).alias("hit")).where(
-        F.col("hit").isNotNull()
-    ).select(*names, "x", F.col("hit.lo").alias("lo"), F.col("hit.hi").alias("hi"))
+        renamed = spans.select(*[F.col(k).alias(f"{k}_of") for k in names], "lo", "hi")
+        fits = [F.col(k) == F.col(f"{k}_of") for k in names] + [x.between(F.col("lo"), F.col("hi"))]
+        return rows.join(small_side(renamed, n_spans), fits).select(*names, "x", "lo", "hi")
+    # without groups there are at most two intervals per wanted quantile
+    low = high = F.lit(None).cast("double")
+    for span in spans.collect():
+        fits = x.between(span["lo"], span["hi"])
+        low = F.when(fits, span["lo"]).otherwise(low)
+        high = F.when(fits, span["hi"]).otherwise(high)
+    return rows.select("x", low.alias("lo"), high.alias("hi")).where(F.col("lo").isNotNull())

@@ -109,6 +109,12 @@ def comparison_features(fmt: str = DAY_FIRST) -> Pipeline:
     ])
 
 
+def comparison_columns(df: DataFrame) -> DataFrame:
+    """The columns the comparison reads: what is worth caching for its fits."""
+    names = ["row_key", LABEL, "Date", "type", "region", *VOLUME_COLUMNS]
+    return df.select(*[F.col(f"`{c}`") for c in names])
+
+
 def comparison_assembler(features: PipelineModel) -> VectorAssembler:
     """The vector over the columns a fitted ``comparison_features`` writes."""
     dummies = features.stages[1].output_columns()

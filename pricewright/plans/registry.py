@@ -6,7 +6,8 @@ end, to digits that survive a different order of summation.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -30,8 +31,8 @@ from ..operators.models import (
 )
 from ..operators.persist import load_model, save_model, score_and_evaluate
 from ..operators.split import fold_of, split, train_part
-from ..operators.tuning import log_sweep, score_frame, spread, sweep
-from ..session import new_path
+from ..operators.tuning import log_sweep, score_frame, sweep
+from ..session import new_path, spread
 from ..sources import input_files, market, read_market_csv, table, write_market_csv
 from ..streaming import requests_by_client, score_stream, size_histogram
 from ..streaming.scoring import read_telemetry
@@ -39,16 +40,20 @@ from .comparison import baseline_predictions, compare
 from .pipelines import (
     FOLDS,
     LABEL,
-    LINEAR_DEFAULTS,
     LINEAR_FEATURES,
     VOLUME_COLUMNS,
+    comparison_columns,
     feature_sql,
     fit_comparison_features,
-    linear_features,
-    linear_pipeline,
-    linear_regression,
 )
-from .training import linear_grid, search, train_linear
+from .training import (
+    fit_features,
+    fit_linear,
+    linear_grid,
+    model_columns,
+    search,
+    train_linear,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -198,7 +203,7 @@ def q_kde(spark, sf_dir):
 @query
 def q_fit_stats(spark, sf_dir):
     """What the fitted feature stages learned from the training rows."""
-    fitted = linear_features().fit(train_part(market(spark, sf_dir)))
+    fitted = fit_features(train_part(market(spark, sf_dir)))
     _, indexer, _, month, _, _, scaler, _ = fitted.stages
     numeric = [c for c in LINEAR_FEATURES if c != "type_index"]
     rows = [("index", level, "index", float(i)) for i, level in enumerate(indexer.labels)]
@@ -216,7 +221,7 @@ def q_fit_stats(spark, sf_dir):
 
 def _linear_frame(spark, sf_dir) -> tuple[DataFrame, DataFrame, PipelineModel]:
     train, test = split(market(spark, sf_dir))
-    return train, test, linear_features(keep=["row_key"]).fit(train)
+    return train, test, fit_features(train, keep=["row_key"])
 
 
 @query
@@ -300,8 +305,12 @@ def q_param_grid(spark, sf_dir):
 @query
 def q_cv_avg(spark, sf_dir):
     """Ten folds times twelve grid points, from one pass of moments."""
-    rows = spread(train_part(market(spark, sf_dir)))
-    return score_frame(spark, search(rows)[1]).withColumn("avg_rmse", _r("avg_rmse", 4))
+    rows = model_columns(train_part(market(spark, sf_dir)), ["bucket"]).persist()
+    try:
+        scores = search(rows)[1]
+    finally:
+        rows.unpersist()
+    return score_frame(spark, scores).withColumn("avg_rmse", _r("avg_rmse", 4))
 
 
 @query
@@ -310,19 +319,26 @@ def q_best_params(spark, sf_dir):
     return parameter_rows(spark, trained.model.stages[-1]).select("param", "value")
 
 
-def _comparison_frames(spark, sf_dir) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Feature stages and the split with key, label and feature vector."""
+@contextmanager
+def _comparison(spark, sf_dir) -> Iterator[tuple[PipelineModel, DataFrame, DataFrame]]:
+    """Feature stages and the split as key, label and vector, the training rows cached."""
     train, test = split(market(spark, sf_dir))
-    features = fit_comparison_features(train)
     columns = ["row_key", F.col(LABEL).alias("label"), "features"]
-    return features, features.transform(train).select(*columns), features.transform(test).select(
-        *columns
-    )
+    rows = spread(comparison_columns(train)).persist()
+    try:
+        features = fit_comparison_features(rows)
+        yield (
+            features,
+            features.transform(rows).select(*columns),
+            features.transform(comparison_columns(test)).select(*columns),
+        )
+    finally:
+        rows.unpersist()
 
 
 def _sweep(spark, sf_dir, trials) -> DataFrame:
-    _, train, test = _comparison_frames(spark, sf_dir)
-    return sweep(trials, train, test, "label").frame(spark)
+    with _comparison(spark, sf_dir) as (_, train, test):
+        return sweep(trials, train, test, "label").frame(spark)
 
 
 @query
@@ -339,7 +355,7 @@ def q_sweep(spark, sf_dir):
 def q_lr_flagship(spark, sf_dir):
     """The linear price model: features, label and prediction of the training rows."""
     train = train_part(market(spark, sf_dir))
-    model = linear_pipeline(keep=["row_key"]).fit(spread(train))
+    model = fit_linear(train, keep=["row_key"])
     return model.transform(train).select(
         "row_key", vector_to_array("features").alias("features"), F.col(LABEL).alias("label"),
         "prediction",
@@ -384,27 +400,24 @@ def q_gbt(spark, sf_dir):
 
 @query
 def q_rff_regression(spark, sf_dir):
-    _, train, test = _comparison_frames(spark, sf_dir)
-    model = fit_kernel_regression(spread(train)).model
+    with _comparison(spark, sf_dir) as (_, train, test):
+        model = fit_kernel_regression(train).model
     return score_and_evaluate(model, test, "label")
 
 
 @query
 def q_knn(spark, sf_dir):
     """Five nearest of all training rows for every test row."""
-    _, train, test = _comparison_frames(spark, sf_dir)
-    out = knn_regression(spread(test), spread(train), 5)
+    with _comparison(spark, sf_dir) as (_, train, test):
+        out = knn_regression(test, train, 5)
     return out.withColumn("prediction", _r("prediction", 4))
 
 
 @query
 def q_params(spark, sf_dir):
     """Parameters of the fitted linear price model with their meaning."""
-    rows = linear_features().fit(train_part(market(spark, sf_dir)))
-    model = linear_regression(**LINEAR_DEFAULTS).fit(
-        rows.transform(spread(train_part(market(spark, sf_dir))))
-    )
-    return parameter_rows(spark, model)
+    model = fit_linear(train_part(market(spark, sf_dir)))
+    return parameter_rows(spark, model.stages[-1])
 
 
 # --- evaluation ---------------------------------------------------------------------------
@@ -446,7 +459,7 @@ def q_leaderboard(spark, sf_dir):
 def q_score_saved(spark, sf_dir):
     """Fit, save, load, score the test rows."""
     train, test = split(market(spark, sf_dir))
-    path = save_model(linear_pipeline().fit(spread(train)), new_path(spark, "model"))
+    path = save_model(fit_linear(train), new_path(spark, "model"))
     return score_and_evaluate(load_model(path), test, LABEL)
 
 
@@ -456,11 +469,11 @@ def q_score_saved(spark, sf_dir):
 @query
 def q_runs(spark, sf_dir):
     """A small sweep logged as a parent run with children, read back."""
-    _, train, test = _comparison_frames(spark, sf_dir)
     trials = [("Decision Tree", decision_tree, {"max_depth": d}) for d in (3, 5)]
     trials.append(("Linear Regression", least_squares, {}))
     ledger = Ledger(spark, new_path(spark, "ledger"))
-    log_sweep(ledger, "comparison", "Parent Run", sweep(trials, train, test, "label"))
+    with _comparison(spark, sf_dir) as (_, train, test):
+        log_sweep(ledger, "comparison", "Parent Run", sweep(trials, train, test, "label"))
     return ledger.overview()
 
 
@@ -482,7 +495,7 @@ def q_best_run(spark, sf_dir):
 
 def _scored_stream(spark, sf_dir) -> DataFrame:
     rows = market(spark, sf_dir)
-    model = linear_pipeline().fit(spread(train_part(rows)))
+    model = fit_linear(train_part(rows))
     drop = new_path(spark, "uploads")
     write_market_csv(rows, drop, by="region")
     return read_telemetry(spark, score_stream(spark, model, drop, new_path(spark, "scored")))

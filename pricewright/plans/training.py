@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -17,8 +18,8 @@ from ..operators.tuning import (
     cross_validate_linear,
     fold_moments,
     param_grid,
-    spread,
 )
+from ..session import spread
 from .pipelines import (
     ELASTIC_NET_PARAMS,
     FOLDS,
@@ -28,6 +29,7 @@ from .pipelines import (
     LOG_COLUMNS,
     REG_PARAMS,
     linear_features,
+    linear_pipeline,
     linear_regression,
 )
 
@@ -53,6 +55,30 @@ def linear_moments(prepared: PipelineModel, df: DataFrame, folds: int = FOLDS) -
     return fold_moments(vectors.select("fold", LABEL, *columns), LINEAR_FEATURES, LABEL, "fold")
 
 
+def model_columns(train: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns the linear model reads: what is worth caching for its fits."""
+    columns = [*keep, "Date", LABEL, "type", *LOG_COLUMNS]
+    return spread(train.select(*[F.col(f"`{c}`") for c in columns]))
+
+
+def fit_features(train: DataFrame, keep: Sequence[str] = ()) -> PipelineModel:
+    """Fit the feature stages; the source is read once for all of them."""
+    rows = model_columns(train, keep).persist()
+    try:
+        return linear_features(keep).fit(rows)
+    finally:
+        rows.unpersist()
+
+
+def fit_linear(train: DataFrame, keep: Sequence[str] = (), **params) -> PipelineModel:
+    """Fit features and regressor; the source is read once for all stages."""
+    rows = model_columns(train, keep).persist()
+    try:
+        return linear_pipeline(keep, **params).fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def search(train: DataFrame, folds: int = FOLDS) -> tuple[PipelineModel, list[dict]]:
     """Fit the features, then score the whole grid from one pass of moments."""
     prepared = linear_features(keep=["fold"]).fit(train.withColumn("fold", fold_of(folds)))
@@ -71,8 +97,7 @@ def train_linear(
     What the ledger gets are the parameters and metrics of the model that is
     returned and saved.
     """
-    columns = ["bucket", "Date", LABEL, "type", *LOG_COLUMNS]
-    rows = spread(train.select(*[F.col(f"`{c}`") for c in columns])).persist()
+    rows = model_columns(train, ["bucket"]).persist()
     try:
         _, scores = search(rows, folds)
         best = best_of(scores)

@@ -73,3 +73,13 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
         df = cut_lineage(df)
         rows = df.count()
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core rows to work on when the input came in few splits.
+
+    Tables of many files already have more partitions than cores and are left
+    as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

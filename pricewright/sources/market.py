@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.split import with_bucket
+from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +29,7 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     size is under the threshold, and AQE splits skewed shuffle partitions
     when a part or supplier holds a large share of the lines.
     """
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
