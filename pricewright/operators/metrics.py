@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 METRICS = ("mae", "mse", "rmse", "r2")
@@ -35,16 +37,19 @@ def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction"
     return grouped.agg(*metric_columns(F.col(f"`{label}`"), F.col(f"`{prediction}`")))
 
 
-def long_predictions(df: DataFrame, key: str, label: str, models: dict[str, str]) -> DataFrame:
-    """(key, model, label, prediction) rows from one prediction column per model."""
+def long_predictions(
+    df: DataFrame, keys: str | Sequence[str], label: str, models: dict[str, str]
+) -> DataFrame:
+    """(keys, model, label, prediction) rows from one prediction column per model."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     pairs = F.explode(
         F.array(*[
             F.struct(F.lit(name).alias("model"), F.col(f"`{c}`").cast("double").alias("prediction"))
             for name, c in models.items()
         ])
     )
-    return df.select(key, F.col(f"`{label}`").alias("label"), pairs.alias("p")).select(
-        key, "p.model", "label", "p.prediction"
+    return df.select(*keys, F.col(f"`{label}`").alias("label"), pairs.alias("p")).select(
+        *keys, "p.model", "label", "p.prediction"
     )
 
 

@@ -20,7 +20,7 @@ from ..operators.encoders import DummyEncoder, PopulationScaler
 from ..operators.kernel import fit_kernel_regression
 from ..operators.knn import knn_regression
 from ..operators.ledger import Ledger, Run
-from ..operators.metrics import METRICS, evaluate, leaderboard
+from ..operators.metrics import METRICS, evaluate, leaderboard, long_predictions
 from ..operators.models import (
     SWEEPS,
     boosted_trees,
@@ -36,7 +36,7 @@ from ..session import new_path, spread
 from ..sources import input_files, market, read_market_csv, table, write_market_csv
 from ..streaming import requests_by_client, score_stream, size_histogram
 from ..streaming.scoring import read_telemetry
-from .comparison import baseline_predictions, compare
+from .comparison import BASELINES, baseline_predictions, compare, mean_predictors
 from .pipelines import (
     FOLDS,
     LABEL,
@@ -427,9 +427,8 @@ def q_params(spark, sf_dir):
 def q_metrics(spark, sf_dir):
     """Metrics of the fixed predictors per product type."""
     train, test = split(market(spark, sf_dir))
-    predictions = baseline_predictions(train, test).join(
-        test.select("row_key", "type"), "row_key"
-    )
+    wide = mean_predictors(train, test)
+    predictions = long_predictions(wide, ["row_key", "type"], LABEL, BASELINES)
     return _rounded_metrics(
         evaluate(predictions, "label", "prediction", "model", "type"), "model", "type"
     )
