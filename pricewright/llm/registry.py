@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from .bpe import bpe_round_trip
 from .common import documents
 from .exact_dedup import exact_duplicates
 
@@ -27,3 +30,8 @@ SELECT doc_id,
        sha256(t) AS text_sha256
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 """
+
+
+@query
+def op2_bpe(spark, sf_dir):
+    return bpe_round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
