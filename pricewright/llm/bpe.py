@@ -228,11 +228,13 @@ def bpe_round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFr
     as empty: no tokens, digests of the empty string. Null and repeated ids are
     carried as they are; other columns are ignored.
     """
-    vocab = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    sent = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary(path)))    # plain data: workers need no package
     extra = ", token_ids array<int>, decoded string" if keep_ids else ""
 
     def run(batches):
-        encoder = Encoder(vocab.value)
+        vocab = Vocabulary.__new__(Vocabulary)
+        vars(vocab).update(sent.value)
+        encoder = Encoder(vocab)
         for ids, texts in _chunks(batches):
             encoder.learn(texts)
             for begin in range(0, len(ids), 1000):

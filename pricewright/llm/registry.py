@@ -7,6 +7,9 @@ import public_tokenizers
 from .bpe import bpe_round_trip
 from .common import documents
 from .exact_dedup import exact_duplicates
+from .language_id import predict_language
+from .quality import quality_rules
+from .toxicity import score_toxicity
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -35,3 +38,18 @@ FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 @query
 def op2_bpe(spark, sf_dir):
     return bpe_round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_language_id(spark, sf_dir):
+    return predict_language(documents(spark, sf_dir))
+
+
+@query
+def op4_quality_rules(spark, sf_dir):
+    return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
