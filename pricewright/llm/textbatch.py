@@ -60,8 +60,12 @@ class TextBatch:
         total = np.concatenate([[0], np.cumsum(per_byte, dtype=np.int64)])
         return total[self.ends - 1] - total[self.starts]
 
-    def word_hashes(self) -> np.ndarray:
-        """64-bit hashes of the words, from one running sum over all bytes."""
+    def word_hashes(self, prefixes: tuple[int, ...] = ()) -> np.ndarray:
+        """64-bit hashes of the words, from one running sum over all bytes.
+
+        With ``prefixes``, one row of hashes for the words and one for their
+        first so many bytes each.
+        """
         n = len(self.data)
         powers = np.full(n, _BASE, dtype=np.uint64)
         powers[0] = 1
@@ -71,8 +75,12 @@ class TextBatch:
         inverse[0] = 1
         np.cumprod(inverse, out=inverse)
         before = np.where(self.begin > 0, total[self.begin - 1], np.uint64(0))
-        size = (self.end - self.begin).astype(np.uint64)
-        return mix((total[self.end - 1] - before) * inverse[self.begin] + size)
+        inverse = inverse[self.begin]
+        out = []
+        for longest in (n, *prefixes):
+            end = np.minimum(self.end, self.begin + longest)
+            out.append(mix((total[end - 1] - before) * inverse + (end - self.begin).astype(np.uint64)))
+        return np.vstack(out) if prefixes else out[0]
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -16,7 +16,11 @@ from .textbatch import LEADING, WORDLIKE, TextBatch, chunks
 
 #: Labelled rows per class that the classifier learns from.
 SAMPLE_PER_CLASS = 1500
-BITS = 15
+BITS = 18
+#: Words also count by their first so many bytes.
+PREFIXES = (5, 7)
+#: Only features this many standard errors apart between the labels are trained.
+LEAST_Z = 4.5
 ROUNDS = 150
 FLAG_FROM = 0.7
 SENTENCE_FROM = 0.5
@@ -32,14 +36,17 @@ class Sentences:
         self.batch = TextBatch([t.lower().encode() for t in texts], WORDLIKE)
         stops = np.concatenate([[0], np.cumsum(_STOPS[self.batch.data])])
         place, self.word_sentence = np.unique(stops[self.batch.begin], return_inverse=True)
-        self.bucket = (self.batch.word_hashes() >> np.uint64(64 - BITS)).astype(np.int64) if len(self.batch.begin) else np.zeros(0, dtype=np.int64)
+        kinds = self.batch.word_hashes(PREFIXES) if len(place) else np.zeros((1 + len(PREFIXES), 0), dtype=np.uint64)
+        kinds = kinds + np.arange(len(kinds), dtype=np.uint64)[:, None] * np.uint64(1 << 60)
+        #: One row per kind of feature, one column per word.
+        self.bucket = (kinds >> np.uint64(64 - BITS)).astype(np.int64)
         self.n = len(place)
         self.first_word = np.searchsorted(self.word_sentence, np.arange(self.n))
         self.doc = self.batch.doc[self.first_word]
 
 
 def sentence_logits(s: Sentences, weights: np.ndarray, intercept: float) -> np.ndarray:
-    return intercept + np.bincount(s.word_sentence, weights=weights[s.bucket], minlength=s.n)
+    return intercept + np.bincount(s.word_sentence, weights=weights[s.bucket].sum(axis=0), minlength=s.n)
 
 
 def _softplus(z: np.ndarray) -> np.ndarray:
@@ -51,12 +58,26 @@ def noisy_or(doc: np.ndarray, logits: np.ndarray, n_docs: int) -> np.ndarray:
     return -np.expm1(-np.bincount(doc, weights=_softplus(logits), minlength=n_docs))
 
 
+def telling(bucket, doc, label) -> np.ndarray:
+    """Which buckets are found in clearly unequal shares of the two labels' documents."""
+    pairs = np.unique(bucket * len(label) + doc)
+    bucket, toxic = pairs // len(label), label[pairs % len(label)] == 1
+    with_toxic = np.bincount(bucket[toxic], minlength=1 << BITS)
+    with_clean = np.bincount(bucket[~toxic], minlength=1 << BITS)
+    n_toxic, n_clean = max(1, (label == 1).sum()), max(1, (label == 0).sum())
+    share = (with_toxic + with_clean) / len(label)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n_toxic + 1 / n_clean))
+    return np.abs(with_toxic / n_toxic - with_clean / n_clean) >= LEAST_Z * error
+
+
 def train_noisy_or(bucket, sentence, doc, label, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Weights and intercept by full-batch Adam on the cross-entropy of the noisy-or.
 
-    ``bucket`` and ``sentence`` have one entry per word, ``doc`` one per
-    sentence, ``label`` one per document.
+    ``bucket`` and ``sentence`` have one entry per feature of a word, ``doc``
+    one per sentence, ``label`` one per document.
     """
+    chosen = telling(bucket, doc[sentence], label)[bucket]
+    bucket, sentence = bucket[chosen], sentence[chosen]
     seen, column = np.unique(bucket, return_inverse=True)
     w = np.zeros(len(seen) + 1)
     w[-1] = -4.0
@@ -67,7 +88,7 @@ def train_noisy_or(bucket, sentence, doc, label, rounds: int = ROUNDS) -> tuple[
         risk = np.bincount(doc, weights=_softplus(z), minlength=n_docs)
         # d loss / d risk: 1 for clean documents, -1 / (e^risk - 1) for toxic ones
         slope = np.where(label == 1, -1.0 / np.expm1(np.clip(risk, 1e-6, 50)), 1.0) / n_docs
-        dz = slope[doc] / (1 + np.exp(-z))
+        dz = slope[doc] / (1 + np.exp(-np.clip(z, -50, 50)))
         grad = np.empty_like(w)
         grad[:-1] = np.bincount(column, weights=dz[sentence], minlength=len(seen)) + 2e-5 * w[:-1]
         grad[-1] = dz.sum()
@@ -91,8 +112,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
             ends = np.searchsorted(s.batch.doc, np.arange(len(part) + 1))
             yield pd.DataFrame({
                 "label": part["label"].to_numpy(),
-                "bucket": [s.bucket[a:b] for a, b in zip(ends, ends[1:])],
-                "sentence": [s.word_sentence[a:b] - (s.word_sentence[a] if b > a else 0) for a, b in zip(ends, ends[1:])]})
+                "bucket": [s.bucket[:, a:b].ravel() for a, b in zip(ends, ends[1:])],
+                "sentence": [
+                    np.tile(s.word_sentence[a:b] - (s.word_sentence[a] if b > a else 0), len(s.bucket))
+                    for a, b in zip(ends, ends[1:])]})
 
     def train(bags):
         bags = bags[bags["bucket"].str.len() > 0]
@@ -139,7 +162,7 @@ def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], flag_from: f
                 found = np.flatnonzero(z >= np.log(SENTENCE_FROM / (1 - SENTENCE_FROM)))
                 if len(found):
                     points = np.concatenate([[0], np.cumsum(LEADING[s.batch.data])])
-                    last = np.append(s.first_word[1:], len(s.bucket)) - 1
+                    last = np.append(s.first_word[1:], s.bucket.shape[1]) - 1
                     for k in found:
                         base = points[s.batch.starts[s.doc[k]]]
                         spans[s.doc[k]].append({
