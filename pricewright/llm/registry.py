@@ -9,6 +9,7 @@ from .common import documents
 from .exact_dedup import exact_duplicates
 from .language_id import predict_language
 from .quality import quality_rules
+from .secrets import find_secrets
 from .toxicity import score_toxicity
 
 QUERIES = {}
@@ -53,3 +54,8 @@ def op4_quality_rules(spark, sf_dir):
 @query
 def op10_toxicity(spark, sf_dir):
     return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op7_secret_scans(spark, sf_dir):
+    return find_secrets(documents(spark, sf_dir))
