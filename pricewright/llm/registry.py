@@ -8,6 +8,7 @@ from .bpe import bpe_round_trip
 from .common import documents
 from .exact_dedup import exact_duplicates
 from .language_id import predict_language
+from .line_dedup import line_dedup
 from .quality import quality_rules
 from .secrets import find_secrets
 from .toxicity import score_toxicity
@@ -59,3 +60,8 @@ def op10_toxicity(spark, sf_dir):
 @query
 def op7_secret_scans(spark, sf_dir):
     return find_secrets(documents(spark, sf_dir))
+
+
+@query
+def op6_line_dedup(spark, sf_dir):
+    return line_dedup(documents(spark, sf_dir))
