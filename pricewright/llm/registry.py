@@ -8,7 +8,9 @@ from .bpe import bpe_round_trip
 from .common import documents
 from .exact_dedup import exact_duplicates
 from .language_id import predict_language
+from .licenses import document_paths, scan_licences
 from .line_dedup import line_dedup
+from .mixing import mix_counts
 from .quality import quality_rules
 from .secrets import find_secrets
 from .toxicity import score_toxicity
@@ -65,3 +67,13 @@ def op7_secret_scans(spark, sf_dir):
 @query
 def op6_line_dedup(spark, sf_dir):
     return line_dedup(documents(spark, sf_dir))
+
+
+@query
+def op3_mixing(spark, sf_dir):
+    return mix_counts(documents(spark, sf_dir))
+
+
+@query
+def op9_license_scans(spark, sf_dir):
+    return scan_licences(document_paths(documents(spark, sf_dir)))
