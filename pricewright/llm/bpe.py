@@ -224,12 +224,12 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]
 def bpe_round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    With ``keep_ids`` also token_ids (array<int>) and decoded. Null texts count
+    With ``keep_ids`` also token_ids (array<int>). Null texts count
     as empty: no tokens, digests of the empty string. Null and repeated ids are
     carried as they are; other columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary(path)))    # plain data: workers need no package
-    extra = ", token_ids array<int>, decoded string" if keep_ids else ""
+    extra = ", token_ids array<int>" if keep_ids else ""
 
     def run(batches):
         vocab = Vocabulary.__new__(Vocabulary)
@@ -247,7 +247,6 @@ def bpe_round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFr
                 }
                 if keep_ids:
                     out["token_ids"] = [[int(x) for x in i.split()] for _, i, _ in made]
-                    out["decoded"] = [t for _, _, t in made]
                 yield pd.DataFrame(out)
 
     rows = docs.select(F.col("doc_id").cast("string").alias("rid"), text_or_empty().alias("text"))

@@ -11,6 +11,7 @@ from .language_id import predict_language
 from .licenses import document_paths, scan_licences
 from .line_dedup import line_dedup
 from .mixing import mix_counts
+from .ngram_join import ngram_join
 from .quality import quality_rules
 from .secrets import find_secrets
 from .toxicity import score_toxicity
@@ -77,3 +78,8 @@ def op3_mixing(spark, sf_dir):
 @query
 def op9_license_scans(spark, sf_dir):
     return scan_licences(document_paths(documents(spark, sf_dir)))
+
+
+@query
+def op8_ngram_join(spark, sf_dir):
+    return ngram_join(documents(spark, sf_dir))
