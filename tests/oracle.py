@@ -45,6 +45,7 @@ def compare(df, con, sql: str) -> list[str]:
     spark_types = dict(df.dtypes)
     same = {
         "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR",
+        "boolean": "BOOLEAN",
     }
     problems = [
         f"type of {n}: {spark_types[n]} != {t}" for n, t in zip(names, types)
