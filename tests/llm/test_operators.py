@@ -54,7 +54,7 @@ EDGE = [
 
 @pytest.fixture(scope="module")
 def edge(spark):
-    return spark.createDataFrame([row + (None,) + CLASH[1:] + (None,) for row in EDGE], SCHEMA)
+    return spark.createDataFrame([row + (None,) + CLASH for row in EDGE], SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -248,7 +248,7 @@ def test_line_dedup(docs, texts):
 
 def test_line_dedup_patience(spark):
     """Short lines inside a shared stretch go with it; a moved stretch is cut once."""
-    common = ["one two three four five six seven eight nine", "x", "ten eleven twelve thirteen fourteen fifteen sixteen seventeen"]
+    common = ["one two three four five six seven eight nine and a few more words", "x", "ten eleven twelve thirteen fourteen fifteen sixteen seventeen"]
     a = ["head of a", *common, "tail of a", "x", "eighteen nineteen twenty more words to fill the line here"]
     b = ["x", "start of b", *common, "another end"]
     rows = spark.createDataFrame([(1, "\n".join(a)), (2, "\n".join(b)), (3, "x\ny")], "doc_id long, text string")
