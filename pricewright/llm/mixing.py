@@ -146,7 +146,8 @@ def plan_mix(docs: DataFrame) -> Mix:
 
     runs = s.where("n_slots > 0").withColumn(
         "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / _RUN))))
-    runs = runs.repartition("sid", "run")
+    # a stated number of partitions, as small rows here become many slots
+    runs = runs.repartition(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_slots >> 16), "sid", "run")
     slots = runs.withColumn("slot", F.explode(F.sequence(
         F.col("run") * _RUN, F.least((F.col("run") + 1) * _RUN, F.col("n_slots")) - 1)))
     at = F.col("slot") % F.col("n_blocks")
