@@ -10,8 +10,6 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
-MAX_LEVELS = 10_000
-
 
 class _Dummies(Params):
     inputCols = Param(
@@ -49,14 +47,11 @@ class DummyEncoder(Estimator, _Dummies, DefaultParamsReadable, DefaultParamsWrit
                 for c in cols
             ])
         )
-        # explicit columns only make sense for a bounded number of levels, so
-        # the read stops one past the bound instead of pulling them all
+        # the vocabulary is the width of the output, so the model holds all of it
         seen = (
             dataset.select(pairs.alias("p")).select("p.*").where("v IS NOT NULL")
-            .distinct().limit(MAX_LEVELS + 1).collect()
+            .distinct().collect()
         )
-        if len(seen) > MAX_LEVELS:
-            raise ValueError(f"more than {MAX_LEVELS} levels in {cols}: not dummy columns")
         levels = {c: sorted(r["v"] for r in seen if r["c"] == c) for c in cols}
         model = DummyEncoderModel(
             inputCols=cols,

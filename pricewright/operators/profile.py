@@ -13,7 +13,6 @@ from ..session import small_side
 from .quantiles import ROW_LIMIT, exact_quantiles
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
-HISTOGRAM_BIN_CAP = 50
 DENSITY_POINTS = 200
 DENSITY_CUT = 3.0
 
@@ -150,9 +149,9 @@ def letter_values(
 
 
 def histogram(
-    df: DataFrame, value: str, cap: int = HISTOGRAM_BIN_CAP, row_limit: int = ROW_LIMIT
+    df: DataFrame, value: str, cap: int | None = None, row_limit: int = ROW_LIMIT
 ) -> DataFrame:
-    """Density histogram with the Freedman-Diaconis bin count, capped.
+    """Density histogram with the Freedman-Diaconis bin count, at most ``cap`` if given.
 
     All bins are listed, empty ones too; the last one includes its right edge.
     """
@@ -165,7 +164,8 @@ def histogram(
         )
     low, high = rows.agg(F.min("x"), F.max("x")).first()
     width = 2 * (q[1] - q[0]) / n ** (1 / 3)
-    bins = min(int(np.ceil((high - low) / width)), cap) if width > 0 else min(int(n ** 0.5), cap)
+    bins = int(np.ceil((high - low) / width)) if width > 0 else int(n ** 0.5)
+    bins = bins if cap is None else min(bins, cap)
     if high == low:
         low, high = low - 0.5, high + 0.5
     bins = max(bins, 1)

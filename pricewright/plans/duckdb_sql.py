@@ -121,6 +121,12 @@ SCORES = """count(*) AS rows, round(avg(abs(y - p)), 4) AS mae,
 _DESCRIBED = ["AveragePrice", *VOLUMES, "year"]
 
 SQL: dict[str, str] = {
+    "q_input_files": " UNION ALL ".join(
+        f"SELECT '{name}' AS input, count(*) AS rows FROM {name}" for name in (
+            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+            "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+        )
+    ),
     "q_csv_scan": _with(f"SELECT {_columns(FILE_COLUMNS)} FROM market"),
     "q_preview": _with(
         f"SELECT row_key, bucket, {_columns(FILE_COLUMNS)} FROM market ORDER BY row_key LIMIT 20"

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -32,8 +33,8 @@ from ..operators.models import (
 from ..operators.persist import load_model, save_model, score_and_evaluate
 from ..operators.split import fold_of, split, train_part
 from ..operators.tuning import log_sweep, score_frame, sweep
-from ..session import new_path, spread
-from ..sources import input_files, market, read_market_csv, table, write_market_csv
+from ..session import new_path
+from ..sources import market, read_market_csv, rows_per_file, table, write_market_csv
 from ..streaming import requests_by_client, score_stream, size_histogram
 from ..streaming.scoring import read_telemetry
 from .comparison import BASELINES, baseline_predictions, compare, mean_predictors
@@ -58,6 +59,10 @@ from .training import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 DESCRIBED = (LABEL, *VOLUME_COLUMNS, "year")
 
 
@@ -87,9 +92,11 @@ def q_csv_scan(spark, sf_dir):
 
 @query
 def q_input_files(spark, sf_dir):
-    return input_files(spark, sf_dir).select(
-        F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length"
-    )
+    """Rows per input table, found through the files each row comes from."""
+    parts = [rows_per_file(table(spark, sf_dir, name)) for name in TABLES]
+    files = reduce(DataFrame.unionByName, parts)
+    name = F.regexp_extract("file", "([a-z]+)[.]parquet", 1)
+    return files.groupBy(name.alias("input")).agg(F.sum("rows").alias("rows"))
 
 
 @query
@@ -187,7 +194,7 @@ def q_letter_values(spark, sf_dir):
 
 @query
 def q_histogram(spark, sf_dir):
-    out = profile.histogram(market(spark, sf_dir), LABEL)
+    out = profile.histogram(market(spark, sf_dir), LABEL, cap=50)
     return out.select(
         "bin", _r("low", 4).alias("low"), _r("high", 4).alias("high"), "count",
         _r("density", 10).alias("density"),
@@ -324,7 +331,7 @@ def _comparison(spark, sf_dir) -> Iterator[tuple[PipelineModel, DataFrame, DataF
     """Feature stages and the split as key, label and vector, the training rows cached."""
     train, test = split(market(spark, sf_dir))
     columns = ["row_key", F.col(LABEL).alias("label"), "features"]
-    rows = spread(comparison_columns(train)).persist()
+    rows = comparison_columns(train).persist()
     try:
         features = fit_comparison_features(rows)
         yield (

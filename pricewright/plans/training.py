@@ -19,7 +19,6 @@ from ..operators.tuning import (
     fold_moments,
     param_grid,
 )
-from ..session import spread
 from .pipelines import (
     ELASTIC_NET_PARAMS,
     FOLDS,
@@ -58,7 +57,7 @@ def linear_moments(prepared: PipelineModel, df: DataFrame, folds: int = FOLDS) -
 def model_columns(train: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The columns the linear model reads: what is worth caching for its fits."""
     columns = [*keep, "Date", LABEL, "type", *LOG_COLUMNS]
-    return spread(train.select(*[F.col(f"`{c}`") for c in columns]))
+    return train.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def fit_features(train: DataFrame, keep: Sequence[str] = ()) -> PipelineModel:

@@ -67,6 +67,11 @@ def input_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def rows_per_file(df: DataFrame) -> DataFrame:
+    """Rows that a file scan brings from each of its files."""
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+
+
 def write_market_csv(
     df: DataFrame, path: str, by: str | None = None, schema: T.StructType = MARKET_SCHEMA
 ) -> None:

@@ -10,7 +10,7 @@ import __spark_entry__ as entry_points
 
 QUERIES = entry_points.queries()
 SQL = entry_points.oracle_sql()
-CHEAP_WITHOUT_SQL = ("q_input_files", "q_cv_avg", "q_params", "q_dt", "q_runs")
+CHEAP_WITHOUT_SQL = ("q_cv_avg", "q_params", "q_dt", "q_runs")
 
 
 @pytest.fixture(scope="module")

@@ -152,3 +152,12 @@ def test_shared_folder_comes_from_the_session(spark):
     if named:
         assert shared_dir(spark) == named
     assert new_path(spark, "a") != new_path(spark, "a")
+
+
+def test_ledger_finds_any_metric_and_repeated_appends(spark):
+    ledger = Ledger(spark, new_path(spark, "ledger"))
+    runs = [Run("e", n, params={"a": 1}).finish(avg_rmse=v) for n, v in (("x", 2.0), ("y", 1.0))]
+    ledger.append(*runs)
+    ledger.append(*runs)
+    assert [(r["name"], r["avg_rmse"]) for r in ledger.best("avg_rmse").collect()] == [("y", 1.0)]
+    assert ledger.overview().count() == 2
