@@ -237,10 +237,11 @@ def bpe_round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFr
         encoder = Encoder(vocab)
         for ids, texts in _chunks(batches):
             encoder.learn(texts)
-            for begin in range(0, len(ids), 1000):
-                made = [encoder.encode(t) for t in texts[begin : begin + 1000]]
+            step = 100 if keep_ids else 1000
+            for begin in range(0, len(ids), step):
+                made = [encoder.encode(t) for t in texts[begin : begin + step]]
                 out = {
-                    "rid": ids[begin : begin + 1000],
+                    "rid": ids[begin : begin + step],
                     "n_tokens": [n for n, _, _ in made],
                     "ids_sha256": [hashlib.sha256(i.encode()).hexdigest() for _, i, _ in made],
                     "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for _, _, t in made],
