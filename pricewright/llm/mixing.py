@@ -72,7 +72,8 @@ class Mix:
         blocks = self.slots.groupBy("sid", "block").agg(
             F.sum(whole.cast("long")).alias("times"),
             F.coalesce(F.max(F.when(~whole, F.col("length"))), F.lit(0)).alias("part"))
-        rows = self.pieces().join(blocks, ["sid", "block"])
+        # both sides grow with the corpus; the size of exploded slots is not known to the optimizer
+        rows = self.pieces().join(blocks.hint("merge"), ["sid", "block"])
         length = F.col("hi") - F.col("lo")
         cut = F.greatest(F.lit(0), F.least("hi", "part") - F.col("lo"))
         return rows.select("rid", "first", length.alias("length"), "times", cut.alias("cut"))
