@@ -20,6 +20,11 @@ class _Dummies(Params):
         "'keep': an unseen level gets all zeros; 'error': it fails the job",
         TypeConverters.toString,
     )
+    numbered = Param(
+        Params._dummy(), "numbered",
+        "name columns by the number of the level, for levels that make no safe column name",
+        TypeConverters.toBoolean,
+    )
 
     def getInputCols(self) -> list[str]:
         return self.getOrDefault(self.inputCols)
@@ -29,14 +34,15 @@ class DummyEncoder(Estimator, _Dummies, DefaultParamsReadable, DefaultParamsWrit
     """Learns the sorted levels of each column.
 
     The model writes one 0/1 column ``<column>_<level>`` per level but the
-    first. Because the levels are stored, scoring data never changes the
+    first, or ``<column>_<number>`` if ``numbered``: any text can be a level
+    then, also a dot, a backtick, or one that differs from another by case. Because the levels are stored, scoring data never changes the
     width of the output.
     """
 
     @keyword_only
-    def __init__(self, *, inputCols=None, handleInvalid="keep"):
+    def __init__(self, *, inputCols=None, handleInvalid="keep", numbered=False):
         super().__init__()
-        self._setDefault(handleInvalid="keep")
+        self._setDefault(handleInvalid="keep", numbered=False)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> "DummyEncoderModel":
@@ -56,6 +62,7 @@ class DummyEncoder(Estimator, _Dummies, DefaultParamsReadable, DefaultParamsWrit
         model = DummyEncoderModel(
             inputCols=cols,
             handleInvalid=self.getOrDefault(self.handleInvalid),
+            numbered=self.getOrDefault(self.numbered),
             levels=json.dumps(levels),
         )
         return model
@@ -67,16 +74,21 @@ class DummyEncoderModel(Model, _Dummies, DefaultParamsReadable, DefaultParamsWri
     )
 
     @keyword_only
-    def __init__(self, *, inputCols=None, handleInvalid="keep", levels=None):
+    def __init__(self, *, inputCols=None, handleInvalid="keep", numbered=False, levels=None):
         super().__init__()
-        self._setDefault(handleInvalid="keep")
+        self._setDefault(handleInvalid="keep", numbered=False)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def vocabulary(self) -> dict[str, list[str]]:
         return json.loads(self.getOrDefault(self.levels))
 
     def output_columns(self) -> list[str]:
-        return [f"{c}_{v}" for c, vs in self.vocabulary().items() for v in vs[1:]]
+        return [
+            self._name(c, i, v) for c, vs in self.vocabulary().items() for i, v in enumerate(vs) if i
+        ]
+
+    def _name(self, column: str, i: int, level: str) -> str:
+        return f"{column}_{i if self.getOrDefault(self.numbered) else level}"
 
     def setHandleInvalid(self, value: str) -> "DummyEncoderModel":
         return self._set(handleInvalid=value)
@@ -93,8 +105,8 @@ class DummyEncoderModel(Model, _Dummies, DefaultParamsReadable, DefaultParamsWri
                     F.raise_error(unseen).cast("string")
                 )
             out += [
-                F.coalesce(value == v, F.lit(False)).cast("int").alias(f"{c}_{v}")
-                for v in levels[1:]
+                F.coalesce(value == v, F.lit(False)).cast("int").alias(self._name(c, i, v))
+                for i, v in enumerate(levels) if i
             ]
         return dataset.select("*", *out)
 

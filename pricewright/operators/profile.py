@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.calendar import DAY_FIRST, month_name, parse_date
 from ..session import small_side
-from .quantiles import ROW_LIMIT, exact_quantiles
+from .quantiles import BINS, exact_quantiles
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 DENSITY_POINTS = 200
@@ -49,7 +49,7 @@ def column_info(df: DataFrame) -> DataFrame:
 
 
 def describe(
-    df: DataFrame, columns: Sequence[str] | None = None, row_limit: int = ROW_LIMIT
+    df: DataFrame, columns: Sequence[str] | None = None, bins: int = BINS
 ) -> DataFrame:
     """count, mean, sample std, min, quartiles and max, one row per column.
 
@@ -79,7 +79,7 @@ def describe(
             ])
         ).alias("p")
     ).select("p.*")
-    quartiles = exact_quantiles(pairs, "value", (0.25, 0.5, 0.75), ["column"], row_limit)
+    quartiles = exact_quantiles(pairs, "value", (0.25, 0.5, 0.75), ["column"], bins)
     q = F.col("q")
     return moments.join(quartiles, "column", "left").select(
         "column", "count", "mean", "std", "min",
@@ -107,10 +107,10 @@ def counts_by_month(df: DataFrame, date_col: str = "Date", fmt: str = DAY_FIRST)
 
 
 def box_stats(
-    df: DataFrame, value: str, by: str, whisker: float = 1.5, row_limit: int = ROW_LIMIT
+    df: DataFrame, value: str, by: str, whisker: float = 1.5, bins: int = BINS
 ) -> DataFrame:
     """Quartiles, whisker ends and outlier count of ``value`` per group."""
-    quartiles = exact_quantiles(df, value, (0.25, 0.5, 0.75), [by], row_limit)
+    quartiles = exact_quantiles(df, value, (0.25, 0.5, 0.75), [by], bins)
     q = F.col("q")
     reach = whisker * (q[2] - q[0])
     fences = quartiles.select(
@@ -137,11 +137,11 @@ def letter_probs(depth: int) -> list[float]:
 
 
 def letter_values(
-    df: DataFrame, value: str, by: str, depth: int = 4, row_limit: int = ROW_LIMIT
+    df: DataFrame, value: str, by: str, depth: int = 4, bins: int = BINS
 ) -> DataFrame:
     """Letter values of ``value`` per group, one row per (group, probability)."""
     probs = letter_probs(depth)
-    out = exact_quantiles(df, value, probs, [by], row_limit)
+    out = exact_quantiles(df, value, probs, [by], bins)
     pairs = F.explode(
         F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("prob"), F.col("q").alias("value"))
     )
@@ -149,14 +149,14 @@ def letter_values(
 
 
 def histogram(
-    df: DataFrame, value: str, cap: int | None = None, row_limit: int = ROW_LIMIT
+    df: DataFrame, value: str, cap: int | None = None, bins: int = BINS
 ) -> DataFrame:
     """Density histogram with the Freedman-Diaconis bin count, at most ``cap`` if given.
 
     All bins are listed, empty ones too; the last one includes its right edge.
     """
     rows = df.select(_c(value).cast("double").alias("x")).where(F.col("x").isNotNull())
-    quartiles = exact_quantiles(rows, "x", (0.25, 0.75), (), row_limit).first()
+    quartiles = exact_quantiles(rows, "x", (0.25, 0.75), (), bins).first()
     n, q = quartiles["n"], quartiles["q"]
     if not n:
         return df.sparkSession.createDataFrame(

@@ -104,7 +104,7 @@ def comparison_features(fmt: str = DAY_FIRST) -> Pipeline:
     """
     return Pipeline(stages=[
         ExtraColumns(expressions=comparison_expressions(fmt)),
-        DummyEncoder(inputCols=["region"]),
+        DummyEncoder(inputCols=["region"], numbered=True),
         PopulationScaler(inputCols=list(VOLUME_COLUMNS)),
     ])
 

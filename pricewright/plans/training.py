@@ -15,6 +15,7 @@ from ..operators.split import fold_of
 from ..operators.tuning import (
     Moments,
     best_of,
+    cross_validate,
     cross_validate_linear,
     fold_moments,
     param_grid,
@@ -79,8 +80,17 @@ def fit_linear(train: DataFrame, keep: Sequence[str] = (), **params) -> Pipeline
 
 
 def search(train: DataFrame, folds: int = FOLDS) -> tuple[PipelineModel, list[dict]]:
-    """Fit the features, then score the whole grid from one pass of moments."""
-    prepared = linear_features(keep=["fold"]).fit(train.withColumn("fold", fold_of(folds)))
+    """Fit the features, then score the whole grid.
+
+    With at most two types the index is affine whatever order a fold gives it,
+    so one pass of moments is enough. More types can change places between
+    folds; then the whole pipeline is refitted in every fold.
+    """
+    rows = train.withColumn("fold", fold_of(folds))
+    prepared = linear_features(keep=["fold"]).fit(rows)
+    if len(prepared.stages[1].labels) > 2:
+        return prepared, cross_validate(
+            linear_features(keep=["fold"]), linear_regression, linear_grid(), rows, LABEL, folds=folds)
     return prepared, cross_validate_linear(linear_moments(prepared, train, folds), linear_grid())
 
 

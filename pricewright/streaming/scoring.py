@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from ..functions.scalars import micros_per_row
 from ..operators.metrics import metric_columns
 from ..plans.pipelines import for_scoring
+from ..session import cut_lineage
 from ..sources.csv import MARKET_SCHEMA, input_files, read_market_csv, stream_market_csv
 
 # Upper edges of the request-size histogram, in bytes.
@@ -63,9 +64,12 @@ def score_stream(
 
     The model is loaded or fitted beforehand, never in the stream. A batch
     writes into a folder of its own number and replaces it when the batch is
-    repeated after a failure, so no file is counted twice.
+    repeated after a failure, so no file is counted twice. A file without rows
+    gets a telemetry row of 0 rows, under batch -1.
     """
     out = Scored.under(target.rstrip("/"))
+    # what is there now is what the stream takes; later arrivals are for the next call
+    listed = cut_lineage(_listed(spark, source))
     scorer = for_scoring(model, handle_invalid, keep=("file", "bytes"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -89,9 +93,29 @@ def score_stream(
         .start()
     )
     query.awaitTermination()
+    if listed.isEmpty():
+        return out
+    known = read_telemetry(spark, out).select(_plain("file").alias("file"))
+    missing = listed.join(known, "file", "left_anti")
+    none = [F.lit(None).cast("double").alias(c) for c in TELEMETRY[5:]]
+    missing.select(
+        "file", F.lit(0).cast("long").alias("rows"), "bytes", F.lit(0.0).alias("seconds"), *none
+    ).write.mode("append").parquet(f"{out.telemetry}/batch_id=-1")
     return out
 
 
+def _plain(file: str) -> Column:
+    """One spelling of a local file's address."""
+    return F.regexp_replace(file, "^file:/+", "file:/")
+
+
+def _listed(spark: SparkSession, source: str) -> DataFrame:
+    """Files a scan of ``source`` reads; names that begin with _ or . are not data."""
+    return input_files(spark, source).where(~F.col("path").rlike("/[_.][^/]*$")).select(
+        _plain("path").alias("file"), F.col("length").alias("bytes")
+    )
+
+
 def read_telemetry(spark: SparkSession, out: Scored) -> DataFrame:
     rows = spark.read.parquet(out.telemetry)
     return rows.select(*[F.col(c) for c in TELEMETRY])
@@ -118,13 +142,8 @@ def score_files(
     ).parquet(target)
     seconds = time.monotonic() - begun
     done = _telemetry(spark.read.parquet(target), label, seconds, 0)
-    listed = input_files(spark, source).select(
-        F.col("path").alias("file"), F.col("length").alias("size")
-    )
-    plain = F.regexp_replace("file", "^file:/+", "file:/")
-    joined = listed.withColumn("id", plain).drop("file").join(
-        done.withColumn("id", plain), "id", "left"
-    )
+    listed = _listed(spark, source).select(F.col("file").alias("id"), F.col("bytes").alias("size"))
+    joined = listed.join(done.withColumn("id", _plain("file")), "id", "left")
     return joined.select(
         F.col("id").alias("file"),
         F.coalesce("batch_id", F.lit(0)).alias("batch_id"),

@@ -17,6 +17,7 @@ from pricewright.operators.encoders import (
 )
 from pricewright.operators.split import split
 from pricewright.plans.pipelines import (
+    fit_comparison_features,
     check_input,
     comparison_features,
     feature_sql,
@@ -94,6 +95,20 @@ def test_dummies_drop_the_first_level_and_zero_the_unseen(spark):
         model.setHandleInvalid("error").transform(new.where("region = 'z'")).collect()
 
 
+def test_numbered_dummies_take_any_level(spark, small_market):
+    levels = ["", "St. Louis", "b", "B", "a`b", "a b"]
+    fit = spark.createDataFrame([(v,) for v in levels], "region string")
+    model = DummyEncoder(inputCols=["region"], numbered=True).fit(fit)
+    assert model.output_columns() == [f"region_{i}" for i in range(1, 6)]
+    rows = {r["region"]: list(r)[1:] for r in model.transform(fit).collect()}
+    for i, level in enumerate(sorted(levels)):
+        assert rows[level] == [int(i == j) for j in range(1, 6)]
+    level = F.element_at(F.array(*[F.lit(v) for v in levels]), F.pmod(F.hash("row_key"), F.lit(6)) + 1)
+    odd = small_market.withColumn("region", level)
+    vectors = fit_comparison_features(odd).transform(odd)
+    assert vectors.first()["features"].size == 8 + 3 + 5
+
+
 def test_dummy_levels_survive_saving(spark):
     fit = spark.createDataFrame([("b b",), ("a'",), ("ü",)], "region string")
     path = new_path(spark, "model")

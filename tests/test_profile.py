@@ -23,8 +23,8 @@ def skewed():
 @pytest.mark.parametrize("limit", [1 << 18, 50])
 @pytest.mark.parametrize("by", [[], ["g"]])
 @pytest.mark.parametrize("column", ["x", "n"])
-def test_quantiles_match_numpy_on_both_paths(spark, skewed, limit, by, column):
-    out = exact_quantiles(spark.createDataFrame(skewed), column, PROBS, by, row_limit=limit)
+def test_quantiles_match_numpy_with_any_number_of_bins(spark, skewed, limit, by, column):
+    out = exact_quantiles(spark.createDataFrame(skewed), column, PROBS, by, bins=limit)
     rows = out.collect()
     groups = skewed.groupby("g") if by else [(None, skewed)]
     assert len(rows) == (3 if by else 1)
@@ -34,21 +34,49 @@ def test_quantiles_match_numpy_on_both_paths(spark, skewed, limit, by, column):
 
 
 def test_quantiles_large_and_small_groups_together(spark, skewed):
-    out = exact_quantiles(spark.createDataFrame(skewed), "x", (0.5,), ["g"], row_limit=2000)
+    out = exact_quantiles(spark.createDataFrame(skewed), "x", (0.5,), ["g"], bins=2000)
     got = {r["g"]: (r["n"], r["q"][0]) for r in out.collect()}
     for g, part in skewed.groupby("g"):
         assert got[g][0] == len(part)
         assert got[g][1] == pytest.approx(np.median(part["x"]), rel=1e-12)
 
 
+@pytest.mark.parametrize("bins", [8, 4096])
+def test_quantiles_of_extreme_values(spark, bins):
+    """Infinities, NaN, a span beyond the largest double, hundreds of decades, denormals."""
+    inf, rng = float("inf"), np.random.default_rng(5)
+    groups = {
+        "one infinity": np.append(rng.normal(size=5000), inf),
+        "both": np.concatenate([rng.normal(size=99), [-inf, -inf, inf]]),
+        "wide": np.concatenate([rng.normal(size=50), [-1.7e308, 1.7e308]]),
+        "decades": 10.0 ** rng.uniform(-300, 300, 5000),
+        "denormal": np.array([5e-324, 0.0, -5e-324, 1e-310, 2e-310, -0.0]),
+        "nan": np.append(rng.normal(size=50), np.nan),
+        "same": np.full(9000, 3.5),
+    }
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs]
+    probs = (0.1, 0.5, 0.77)
+    got = {r["g"]: (r["n"], r["q"]) for r in exact_quantiles(
+        spark.createDataFrame(rows, "g string, x double"), "x", probs, ["g"], bins=bins).collect()}
+    assert got.keys() == groups.keys()
+    for g, xs in groups.items():
+        assert got[g][0] == len(xs)
+        np.testing.assert_allclose(got[g][1], np.quantile(xs, probs), rtol=1e-12, err_msg=g)
+
+
+def test_quantiles_of_nothing(spark):
+    row = exact_quantiles(spark.createDataFrame([], "x double"), "x", (0.5,)).first()
+    assert row["n"] == 0 and row["q"] is None
+
+
 def test_quantiles_ignore_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "x double")
     assert exact_quantiles(df, "x", (0.5,)).first()["q"] == [2.0]
 
 
-def test_describe_both_paths_agree(spark, small_market):
+def test_describe_with_any_number_of_bins(spark, small_market):
     whole = profile.describe(small_market, ["AveragePrice", "4225"]).collect()
-    narrowed = profile.describe(small_market, ["AveragePrice", "4225"], row_limit=100).collect()
+    narrowed = profile.describe(small_market, ["AveragePrice", "4225"], bins=100).collect()
     pdf = small_market.select("AveragePrice", "`4225`").toPandas().describe().T
     for rows in (whole, narrowed):
         for r in rows:

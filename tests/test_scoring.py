@@ -141,6 +141,19 @@ def test_batch_scoring_lists_empty_files(spark, small_market, model):
     assert out[1]["micros_per_row"] > 0
 
 
+def test_stream_lists_empty_files_once(spark, small_market, model):
+    source, target = new_path(spark, "uploads"), new_path(spark, "scored")
+    columns = [F.col(f"`{f.name}`") for f in MARKET_SCHEMA]
+    for n in (20, 0):
+        small_market.select(*columns).limit(n).coalesce(1).write.mode("append").option(
+            "header", True).csv(source)
+    for _ in range(2):
+        out = score_stream(spark, model, source, target)
+        rows = read_telemetry(spark, out).orderBy("rows").collect()
+        assert [r["rows"] for r in rows] == [0, 20]
+        assert rows[0]["batch_id"] == -1 and rows[0]["bytes"] > 0 and rows[0]["mae"] is None
+
+
 def test_size_histogram_edges(spark):
     df = spark.createDataFrame([(v,) for v in (0, 1, 100, 101, 10_000, 10_001)], "n bigint")
     rows = {r["up_to"]: (r["count"], r["cumulative"]) for r in size_histogram(df, "n").collect()}
