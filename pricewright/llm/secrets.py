@@ -6,7 +6,7 @@ alphabet and a lag-one serial correlation. The combined p-value is uniform for
 random tokens and near zero for ordinary ones. Per encoding and length band,
 the distribution of p-values over the whole corpus tells which share of the
 tokens above a threshold is not random; tokens are reported where that false
-discovery rate is low.
+discovery rate is not above its limit, as far as the number of tokens can show.
 """
 
 from __future__ import annotations
@@ -21,6 +21,11 @@ MIN_TOKEN = 16
 FALSE_DISCOVERY_RATE = 0.1
 #: No more than this share of random tokens may be given up for a low rate.
 LARGEST_THRESHOLD = 0.2
+#: Classes with fewer testable tokens are judged with the bands up to twice as long and half as long.
+SPARSE_CLASS = 30
+NEAR_BANDS = 2
+#: One-sided 5% point of the normal distribution.
+SIGNIFICANT = 1.645
 
 # The patterns of the contract, and the alphabets of the encodings.
 ASSIGN = (
@@ -114,20 +119,32 @@ def randomness(tokens: DataFrame) -> DataFrame:
 def thresholds(tested: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFrame:
     """(encoding, band, least_p): the smallest p-value from which tokens are reported.
 
-    Random tokens spread evenly over p, so twice the number above a half
-    estimates all random ones of a class. One row per encoding and length band
-    at most, a few hundred however large the corpus.
+    Random tokens spread evenly over p, so the number above a half estimates
+    all random ones of a class. Every class is judged on the same grid of
+    p-values, filled or not; a class of few tokens is judged with the bands
+    around it. A value of the grid is refused where significantly fewer tokens
+    lie above a half than the rate allows, so a lone token is refused only for
+    its own p-value. One row per encoding and length band at most, a few
+    hundred however large the corpus.
     """
+    grid = range(1, round(100 * LARGEST_THRESHOLD) + 1)
+    names = [*(f"above_{t}" for t in grid), "high"]
     bins = tested.groupBy("encoding", "band", F.floor(F.col("p") * 100).cast("int").alias("bin")).agg(
         F.count("*").alias("n"))
-    down = Window.partitionBy("encoding", "band").orderBy(F.desc("bin"))
-    whole = Window.partitionBy("encoding", "band")
-    t = F.col("bin") / 100
-    random = 2 * F.sum(F.when(F.col("bin") >= 50, F.col("n")).otherwise(0)).over(whole)
-    out = bins.withColumn("above", F.sum("n").over(down)).withColumn(
-        "false_rate", 1 - (1 - t) * random / F.col("above"))
-    return out.where((F.col("false_rate") <= rate) & (t >= 0.01) & (t <= LARGEST_THRESHOLD)).groupBy(
-        "encoding", "band").agg((F.min("bin") / 100).alias("least_p"))
+    own = bins.groupBy("encoding", "band").agg(
+        *[F.sum(F.when(F.col("bin") >= t, F.col("n")).otherwise(0)).alias(f"above_{t}") for t in grid],
+        F.sum(F.when(F.col("bin") >= 50, F.col("n")).otherwise(0)).alias("high"))
+    near = Window.partitionBy("encoding").orderBy("band").rangeBetween(-NEAR_BANDS, NEAR_BANDS)
+    sparse = F.col("above_1") < SPARSE_CLASS
+    used = own.select("encoding", "band", *[
+        F.when(sparse, F.sum(c).over(near)).otherwise(F.col(c)).alias(c) for c in names])
+
+    def allowed(t: int) -> Column:
+        n, share = F.col(f"above_{t}"), (1 - rate) * 0.5 / (1 - t / 100)
+        return F.col("high") + 0.5 >= n * share - SIGNIFICANT * F.sqrt(n * share * (1 - share))
+
+    least = F.coalesce(*[F.when(allowed(t), F.lit(t / 100)) for t in grid])
+    return used.select("encoding", "band", least.alias("least_p")).where("least_p IS NOT NULL")
 
 
 def _joined(spans: Column, known: bool) -> Column:

@@ -290,6 +290,31 @@ def test_random_tokens_are_found(spark):
     assert sum(got[1000 + i].n_random for i in range(100)) == 0
 
 
+def test_lone_random_tokens_are_found(spark):
+    """One token per encoding and length, alone in its class or with few around it."""
+    rng = random.Random(11)
+    rows = []
+    for name, symbols in secrets.ALPHABETS:
+        for n in (20, 45, 100, 300):
+            rows.append((len(rows), name, n, "".join(rng.choice(symbols) for _ in range(n))))
+    tokens = spark.createDataFrame(rows, "doc_id long, name string, n long, token string")
+    p = {r.doc_id: r.p for r in secrets.randomness(tokens).collect()}
+    docs = tokens.select("doc_id", F.concat(F.lit("key "), "token", F.lit(" end")).alias("text"))
+    got = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    missed = [r[1:3] for r in rows if p[r[0]] >= 0.01 and not got[r[0]].n_random + got[r[0]].n_hex]
+    assert missed == [] and sum(v >= 0.01 for v in p.values()) > 0.9 * len(rows)
+    for i, name, n, token in rows[-6:-4]:
+        if p[i] >= 0.01:
+            alone = spark.createDataFrame([(1, f"key {token} end")], "doc_id long, text string")
+            assert secrets.find_secrets(alone).first().n_random == 1
+
+
+def test_ordinary_tokens_of_a_sparse_class_stay(spark):
+    """Twenty tokens with p between 0.05 and 0.3 and none above are not random ones."""
+    tested = spark.createDataFrame([("lower", 8, 0.05 + i / 80) for i in range(20)] + [("lower", 15, 0.3)], "encoding string, band int, p double")
+    assert [(r.band, r.least_p) for r in secrets.thresholds(tested).collect()] == [(15, 0.01)]
+
+
 def test_secrets_edges(spark, edge, empty):
     tricky = ["token: password: abcdefghijklmnop", "API_KEY='a.b-c_d=e+f/g12'", "AKIA" * 6, "secret=short", "x" * 50000 + "0123456789abcdef"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(tricky)], "doc_id long, text string")
