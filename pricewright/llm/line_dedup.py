@@ -2,7 +2,7 @@
 
 Each line is linked to the first document that holds it, so the number of
 links is at most the number of lines however often one repeats. A pair of
-documents with a rare line in common is aligned with patience diff: lines made
+linked documents is aligned with patience diff: lines made
 unique by their occurrence number, their longest increasing chain, and equal
 gaps between links. Aligned blocks of enough words go from the later document.
 """
@@ -21,9 +21,6 @@ from .textbatch import TextBatch, chunks, mix
 
 #: An aligned block of fewer words stays.
 MIN_BLOCK_WORDS = 20
-#: A line is rare if few documents hold it, or if it is too long to repeat by chance.
-RARE_DOCUMENTS = 50
-LONG_LINE_WORDS = 8
 
 _BASE = np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -160,7 +157,7 @@ def find_blocks(lines: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame
     pairs = attach(lines, firsts, ["line", "nth"], "holders", total).where(
         (F.col("a.doc_id") != F.col("doc_id")) | (F.col("a.h") != F.col("h")))
     pairs = pairs.select(
-        "doc_id", "h", F.col("a.doc_id").alias("doc_a"), F.col("a.h").alias("h_a"), "line", "holders",
+        "doc_id", "h", F.col("a.doc_id").alias("doc_a"), F.col("a.h").alias("h_a"), "line",
         *[F.col(f"a.{f}").alias(f"{f}_a") for f in _FIELDS], *[F.col(f).alias(f"{f}_b") for f in _FIELDS])
     pairs = pairs.repartition("doc_id", "h").sortWithinPartitions("doc_id", "h", "doc_a", "h_a", "pos_b")
 
@@ -176,8 +173,7 @@ def find_blocks(lines: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame
             if j - i > 1:       # a repeated row of the table gives its lines twice
                 once = np.concatenate([[True], pos[1:] != pos[:-1]])
                 pair = {c: v[once] for c, v in pair.items()}
-            rare = (pair["holders"] <= RARE_DOCUMENTS) | (pair["own_b"] >= LONG_LINE_WORDS)
-            if rare.any() and pair["n_words_b"][0] >= min_words:
+            if pair["n_words_b"][0] >= min_words:
                 out += [(pair["doc_id"][0], pair["h"][0], pair["doc_a"][0], f, l) for f, l in aligned_blocks(pair, min_words)]
         return out
 

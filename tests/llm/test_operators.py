@@ -258,6 +258,14 @@ def test_line_dedup_patience(spark):
     assert "start of b" in out[2] and "another end" in out[2]
 
 
+def test_line_dedup_short_lines_of_many_documents(spark):
+    """A passage of short lines goes from all later documents, however many hold it."""
+    passage = "\n".join(f"item {i}" for i in range(30))
+    rows = spark.createDataFrame([(i, f"top {i}\n{passage}\nend {i}") for i in range(80)], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_dedup.line_dedup(rows).collect()}
+    assert out == {i: f"top {i}\n{passage}\nend {i}" if i == 0 else f"top {i}\nend {i}" for i in range(80)}
+
+
 def test_line_dedup_edges(edge, empty):
     out = line_dedup.remove_shared_blocks(edge)
     rows = out.collect()
