@@ -5,6 +5,9 @@ links is at most the number of lines however often one repeats. A pair of
 linked documents is aligned with patience diff: lines made
 unique by their occurrence number, their longest increasing chain, and equal
 gaps between links. Aligned blocks of enough words go from the later document.
+Stretches whose lines were first seen in different documents, or that lie
+outside the chain, are found by runs: the shortest stretches of enough words
+from each line and up to each line, linked to the first document of the run.
 """
 
 from __future__ import annotations
@@ -82,6 +85,55 @@ def line_table(docs: DataFrame) -> DataFrame:
         "all_run long, n_words long")
 
 
+def run_table(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
+    """(doc_id, h, run, first, last): the shortest stretch of ``min_words`` words
+    that begins at each line that is not empty, and the one that ends there.
+
+    Two a line at most. The runs inside a stretch of enough words cover all its
+    lines, so what two documents share is covered by runs they share.
+    """
+    def run(batches: Iterator[pd.DataFrame]):
+        for part in chunks(batches):
+            texts = [t.encode() for t in part["text"]]
+            lines = TextBatch(texts, _LINE)
+            n = len(lines.begin)
+            if not n:
+                continue
+            words = TextBatch(texts)
+            n_words = np.searchsorted(words.begin, lines.end) - np.searchsorted(words.begin, lines.begin)
+            first = lines.first[lines.doc]
+            last = lines.first[lines.doc + 1] - 1
+            pos = np.arange(n) - first
+            with np.errstate(over="ignore"):
+                term = mix(lines.word_hashes()) * _powers(_BASE, pos)
+                total = np.concatenate([[np.uint64(0)], np.cumsum(term, dtype=np.uint64)])
+            upto = np.concatenate([[0], np.cumsum(n_words)])
+            at = np.arange(n)
+            ends = np.searchsorted(upto, upto[:-1] + min_words) - 1
+            begins = np.searchsorted(upto, upto[1:] - min_words, side="right") - 1
+            ahead, back = ends <= last, begins >= first
+            spans = np.unique(np.concatenate([at[ahead] * n + ends[ahead], begins[back] * n + at[back]]))
+            s, e = spans // n, spans % n
+            with np.errstate(over="ignore"):
+                key = (total[e + 1] - total[s]) * _powers(_INVERSE, pos[s]) + (e - s + 1).astype(np.uint64)
+            yield pd.DataFrame({
+                "doc_id": part["doc_id"].to_numpy()[lines.doc[s]], "h": part["h"].to_numpy()[lines.doc[s]],
+                "run": mix(key).view(np.int64), "first": pos[s], "last": pos[e]})
+
+    return docs.select("doc_id", "h", "text").mapInPandas(
+        run, "doc_id long, h long, run long, first long, last long")
+
+
+def run_blocks(runs: DataFrame) -> DataFrame:
+    """(doc_id, h, partner, first, last): runs an earlier document holds; ``runs`` is a stored ``run_table``."""
+    firsts = runs.groupBy("run").agg(
+        F.min(F.struct("doc_id", "h")).alias("a"), F.count("*").alias("holders")).where("holders > 1")
+    firsts = stored(firsts, "first-runs")
+    return attach(runs, firsts, ["run"], "holders", runs.count()).where(
+        (F.col("a.doc_id") != F.col("doc_id")) | (F.col("a.h") != F.col("h"))).select(
+        "doc_id", "h", F.col("a.doc_id").alias("partner"), "first", "last")
+
+
 def _chain(places: np.ndarray) -> np.ndarray:
     """Indices of a longest strictly increasing subsequence."""
     if len(places) < 2 or (np.diff(places) > 0).all():
@@ -208,13 +260,15 @@ def remove_shared_blocks(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> D
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     text = F.col("text").cast("string")
     keyed = docs.select(*names).withColumns({"_id": key, "_h": F.xxhash64(text)})
-    lines = stored(line_table(
-        keyed.where(F.length(text) > 0).select(F.col("_id").alias("doc_id"), F.col("_h").alias("h"), text.alias("text"))),
-        "lines")
-    found = find_blocks(lines, min_words).groupBy("doc_id", "h").agg(
+    filled = keyed.where(F.length(text) > 0).select(
+        F.col("_id").alias("doc_id"), F.col("_h").alias("h"), text.alias("text"))
+    lines = stored(line_table(filled), "lines")
+    runs = stored(run_table(filled, min_words), "runs")
+    found = find_blocks(lines, min_words).unionByName(run_blocks(runs)).groupBy("doc_id", "h").agg(
         F.collect_set(F.struct("first", "last")).alias("_blocks"), F.collect_set("partner").alias("partners"))
     found = stored(found.withColumnsRenamed({"doc_id": "_id", "h": "_h"}), "line-blocks")
     discard(lines)
+    discard(runs)
     same = Window.partitionBy("_id", "_h").orderBy("_id")
     rows = keyed.withColumn("_copy", F.row_number().over(same) > 1).join(found, ["_id", "_h"], "left")
     rows = rows.select(*names, "_copy", "_blocks", "partners")

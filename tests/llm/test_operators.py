@@ -266,6 +266,32 @@ def test_line_dedup_short_lines_of_many_documents(spark):
     assert out == {i: f"top {i}\n{passage}\nend {i}" if i == 0 else f"top {i}\nend {i}" for i in range(80)}
 
 
+def test_line_dedup_equals_brute_force(spark):
+    """Every stretch of 20 words that any earlier document holds goes: lines
+    first seen elsewhere, swapped passages, random mixtures."""
+    rng = random.Random(8)
+    line = lambda i: " ".join(f"l{i}w{k}" for k in range(10))
+    texts = [line(i) for i in range(6)] + ["\n".join(map(line, range(6)))] * 2
+    one, two = [line(i) for i in range(20, 24)], [line(i) for i in range(30, 35)]
+    texts += ["\n".join([*one, "middle", *two]), "\n".join([*two, "other", *one])]
+    pool = [" ".join(f"p{i}" for _ in range(rng.choice((1, 2, 5, 9, 21)))) for i in range(12)]
+    texts += ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 14))) for _ in range(60)]
+    want, seen = {}, set()
+    for i, t in enumerate(texts):
+        lines, gone, mine = t.split("\n"), set(), set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(len(x.split()) for x in lines[a:b]) >= line_dedup.MIN_BLOCK_WORDS:
+                    mine.add(tuple(lines[a:b]))
+                    if tuple(lines[a:b]) in seen:
+                        gone |= set(range(a, b))
+        seen |= mine
+        want[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    assert want[7] == "" and want[9] == "other"
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.line_dedup(rows).collect()} == want
+
+
 def test_line_dedup_edges(edge, empty):
     out = line_dedup.remove_shared_blocks(edge)
     rows = out.collect()
