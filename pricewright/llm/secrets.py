@@ -2,11 +2,13 @@
 
 Long tokens are tested against the alphabet of their inferred encoding: a
 chi-squared test of uniform symbols, a runs test around the middle of the
-alphabet and a lag-one serial correlation. The combined p-value is uniform for
-random tokens and near zero for ordinary ones. Per encoding and length band,
-the distribution of p-values over the whole corpus tells which share of the
-tokens above a threshold is not random; tokens are reported where that false
-discovery rate is not above its limit, as far as the number of tokens can show.
+alphabet and a serial test: lag-one correlation, replaced by the number of
+equal symbol pairs where that number is next to impossible. The combined
+p-value is uniform for random tokens and near zero for ordinary ones. Per
+encoding and length band, the distribution of p-values over the distinct tokens
+of the whole corpus tells which share of those above a threshold is not random;
+tokens are reported where that false discovery rate is not above its limit, as
+far as the number of tokens can show.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ LARGEST_THRESHOLD = 0.2
 #: Classes with fewer testable tokens are judged with the bands up to twice as long and half as long.
 SPARSE_CLASS = 30
 NEAR_BANDS = 2
+#: Below this chance the equal pairs of a token decide its serial test.
+IMPOSSIBLE_PAIRS = 0.001
 #: One-sided 5% point of the normal distribution.
 SIGNIFICANT = 1.645
 
@@ -108,12 +112,29 @@ def randomness(tokens: DataFrame) -> DataFrame:
         F.sequence(F.lit(1), F.size("_v") - 1), F.lit(0.0),
         lambda a, i: a + (F.element_at("_v", i) - F.col("_mean")) * (F.element_at("_v", i + 1) - F.col("_mean")))
     rows = rows.withColumn("_z3", F.when(power > 0, (lag / power + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0)))
-    x = -2 * (F.log(_normal_tail(F.col("_z1"))) + F.log(_normal_tail(F.col("_z2"))) + F.log(_normal_tail(F.col("_z3"))))
+    pairs = F.array_sort(F.transform(
+        F.sequence(F.lit(1), F.size("_v") - 1),
+        lambda i: F.element_at("_v", i) * F.col("_k") + F.element_at("_v", i + 1)))
+    # equal neighbours in the sorted pairs: the sum over groups of 1 + ... + (size - 1)
+    start = F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("same"), F.lit(0.0).alias("total"))
+
+    def step(acc: Column, v: Column) -> Column:
+        same = F.when(acc["last"] == v, acc["same"] + 1).otherwise(F.lit(0.0))
+        return F.struct(v.alias("last"), same.alias("same"), (acc["total"] + same).alias("total"))
+
+    rows = rows.withColumn("_equal", F.aggregate(pairs, start, step, lambda acc: acc["total"]))
+    likely = (n - 1) * (n - 2) / 2 / (k * k)
+    # Chernoff's bound of the Poisson tail
+    chance = F.when(F.col("_equal") > likely, F.exp(
+        F.col("_equal") - likely + F.col("_equal") * F.log(likely / F.col("_equal")))).otherwise(F.lit(1.0))
+    rows = rows.withColumn("_p3", F.when(chance < IMPOSSIBLE_PAIRS, F.greatest(chance, F.lit(1e-15))).otherwise(
+        _normal_tail(F.col("_z3"))))
+    x = -2 * (F.log(_normal_tail(F.col("_z1"))) + F.log(_normal_tail(F.col("_z2"))) + F.log("_p3"))
     # Fisher's sum of three has six degrees of freedom
     p = F.exp(-x / 2) * (1 + x / 2 + x * x / 8)
     band = F.floor(2 * F.log2(n)).cast("int")
     return rows.withColumns({"p": p, "band": band}).drop(
-        "_alphabet", "_n", "_k", "_v", "_z1", "_z2", "_z3", "_high", "_mean")
+        "_alphabet", "_n", "_k", "_v", "_z1", "_z2", "_z3", "_high", "_mean", "_equal", "_p3")
 
 
 def thresholds(tested: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFrame:
@@ -125,8 +146,11 @@ def thresholds(tested: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFra
     around it. A value of the grid is refused where significantly fewer tokens
     lie above a half than the rate allows, so a lone token is refused only for
     its own p-value. One row per encoding and length band at most, a few
-    hundred however large the corpus.
+    hundred however large the corpus. With a column ``token`` (any key of it)
+    repeats of a token count once.
     """
+    if "token" in tested.columns:
+        tested = tested.dropDuplicates(["encoding", "band", "token"])
     grid = range(1, round(100 * LARGEST_THRESHOLD) + 1)
     names = [*(f"above_{t}" for t in grid), "high"]
     bins = tested.groupBy("encoding", "band", F.floor(F.col("p") * 100).cast("int").alias("bin")).agg(
@@ -180,9 +204,12 @@ def find_secrets(docs: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFra
         | (F.col("kind") >= 2))
     each = stored(each.where(fits).select("rid", "start", "kind", "end", "token"), "secret-spans")
     tested = stored(
-        randomness(each.where("kind = 3").select("rid", "start", "kind", "end", "token")).drop("token"), "secret-tests")
-    random = tested.join(F.broadcast(thresholds(tested, rate)), ["encoding", "band"]).where("p >= least_p")
-    spans = each.where("kind < 3").drop("token").unionByName(random.select("rid", "start", "kind", "end"))
+        randomness(each.where("kind = 3")).withColumn("token", F.xxhash64("token")), "secret-tests")
+    # written first: a few hundred rows, and the joins below need not carry the plan behind them
+    least = stored(thresholds(tested, rate), "secret-thresholds")
+    random = tested.join(F.broadcast(least), ["encoding", "band"]).where("p >= least_p")
+    spans = stored(
+        each.where("kind < 3").drop("token").unionByName(random.select("rid", "start", "kind", "end")), "secret-found")
     grouped = spans.groupBy("rid").agg(F.collect_list(F.struct("start", "kind", "end")).alias("all"))
     known = F.filter("all", lambda s: s["kind"] < 3)
     grouped = grouped.withColumn("known", known).withColumn("all", F.filter("all", lambda s: (s["kind"] < 3) | ~F.exists(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -87,3 +88,31 @@ def targets(sizes: dict, share=1.5, most=2.0, weights=(5, 2, 1)) -> dict:
 
 def lines_gone(before: str, after: str) -> Counter:
     return Counter(before.split("\n")) - Counter(after.split("\n"))
+
+
+def _normal_two_sided(z: float) -> float:
+    return max(math.erfc(abs(z) / math.sqrt(2)), 1e-15)
+
+
+def randomness(token: str, alphabet: str) -> float:
+    """Combined p-value of the chi-squared, runs and serial tests."""
+    v = [alphabet.index(c) + 1 for c in token]
+    n, k = len(v), len(alphabet)
+    chi = sum((v.count(s) - n / k) ** 2 / (n / k) for s in range(1, k + 1))
+    p1 = _normal_two_sided((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
+    high = [x > k / 2 for x in v]
+    n1, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    expected = 2 * n1 * (n - n1) / n + 1
+    variance = (expected - 1) * (expected - 2) / (n - 1)
+    p2 = _normal_two_sided((runs - expected) / math.sqrt(variance) if variance > 0 else 9)
+    mean = sum(v) / n
+    power = sum((x - mean) ** 2 for x in v)
+    lag = sum((a - mean) * (b - mean) for a, b in zip(v, v[1:]))
+    p3 = _normal_two_sided((lag / power + 1 / n) * math.sqrt(n) if power > 0 else 9)
+    equal = sum(c * (c - 1) // 2 for c in Counter(zip(v, v[1:])).values())
+    likely = (n - 1) * (n - 2) / 2 / k**2
+    if equal > likely:
+        chance = math.exp(equal - likely + equal * math.log(likely / equal))
+        p3 = max(chance, 1e-15) if chance < 0.001 else p3
+    x = -2 * (math.log(p1) + math.log(p2) + math.log(p3))
+    return math.exp(-x / 2) * (1 + x / 2 + x * x / 8)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import sys
 from pathlib import Path
 
@@ -349,6 +350,35 @@ def test_ordinary_tokens_of_a_sparse_class_stay(spark):
     assert [(r.band, r.least_p) for r in secrets.thresholds(tested).collect()] == [(15, 0.01)]
 
 
+def test_randomness_equals_brute_force(spark):
+    """All statistics on random tokens, words, repeats and long ones."""
+    rng = random.Random(3)
+    rows = []
+    for name, symbols in secrets.ALPHABETS:
+        for n in (16, 17, 33, 250, 3000):
+            rows.append((name, "".join(rng.choice(symbols) for _ in range(n))))
+    rows += [("upper", "ERSCHSCHBERBERTZ"), ("lower", "a" * 40), ("letters", "AbcdAbcdAbcdAbcdEf"), ("digits", "0123456789" * 4)]
+    got = secrets.randomness(spark.createDataFrame(rows, "name string, token string")).collect()
+    alphabets = dict(secrets.ALPHABETS)
+    for r in got:
+        want = brute.randomness(r.token, alphabets[r.encoding])
+        assert abs(r.p - want) < 1e-4 * max(1, abs(want)), (r.token[:40], r.p, want)
+    p = {r.token: r.p for r in got}
+    assert all(p[t] < 0.01 for _, t in rows[-4:])
+
+
+def test_no_ordinary_token_is_reported(docs, texts):
+    """The texts hold no random token beyond the fixed patterns' own."""
+    assert [r.spans for r in secrets.find_secrets(docs).where("n_random > 0").collect()] == []
+
+
+def test_secrets_are_planned_quickly(spark, edge):
+    """The joins on the thresholds carry no deep plan: both the plan and the text of it stay small."""
+    begun = time.monotonic()
+    plan = secrets.find_secrets(edge)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 200_000 and time.monotonic() - begun < 60
+
+
 def test_secrets_edges(spark, edge, empty):
     tricky = ["token: password: abcdefghijklmnop", "API_KEY='a.b-c_d=e+f/g12'", "AKIA" * 6, "secret=short", "x" * 50000 + "0123456789abcdef"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(tricky)], "doc_id long, text string")
