@@ -25,9 +25,11 @@ from tokenizers import Tokenizer
 
 from .common import text_or_empty
 
-#: Code points of text that are merged together, and distinct words remembered, per task.
-CHUNK_CHARS = 16_000_000
-KEPT_WORDS = 500_000
+#: Code points of text that are merged together, and distinct parts of words remembered, per task.
+CHUNK_CHARS = 3_000_000
+KEPT_PARTS = 150_000
+#: Tokens in a frame that goes back to Spark.
+FRAME_TOKENS = 200_000
 
 # Fixed values of the file format: how bytes are written as characters, and the
 # pattern that splits normalised text.
@@ -66,7 +68,7 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 for pairs that never merge."""
-        key = left * self.width + right
+        key = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.order[at], -1)
 
@@ -77,11 +79,11 @@ def merge_words(words: list[bytes], vocab: Vocabulary) -> list[list[int]]:
         return []
     data = np.frombuffer(b"".join(words), dtype=np.uint8)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
-    sym = vocab.inner[data]
+    sym = vocab.inner[data].astype(np.int32)
     sym[ends - 1] = vocab.last[data[ends - 1]]
-    after = np.arange(1, len(sym) + 1)
+    after = np.arange(1, len(sym) + 1, dtype=np.int32)
     after[ends - 1] = -1
-    before = np.arange(-1, len(sym) - 1)
+    before = np.arange(-1, len(sym) - 1, dtype=np.int32)
     before[0] = -1
     before[ends[:-1]] = -1
 
@@ -134,74 +136,68 @@ def merge_words(words: list[bytes], vocab: Vocabulary) -> list[list[int]]:
 
 
 class Encoder:
-    """Encodes documents chunk by chunk and remembers a bounded number of words."""
+    """Encodes documents chunk by chunk and remembers a bounded number of word parts."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.known: dict[bytes, tuple[int, str, str] | None] = {}
+        self.known: dict[str, tuple[int, str, str]] = {}
         self.split = regex.compile(_SPLIT)
         self.library = Tokenizer.from_str(vocab.frame)     # no vocabulary: splits words only
         self.byte_of = {c: b for b, c in enumerate(_byte_chars())}
         added = "|".join(map(re.escape, sorted(vocab.added, key=len, reverse=True)))
         self.added = re.compile(f"({added})") if added else None
 
-    def _pieces(self, text: str) -> list[str]:
-        """Plain and added pieces of a raw text in turn."""
-        if self.added is None or "<|" not in text:
-            return [text]
-        return self.added.split(text)
-
-    def _split(self, word: str) -> list[bytes]:
-        """Normalised parts of a word.
+    def _parts(self, text: str) -> list[str]:
+        """Normalised parts of a plain text.
 
         Beyond the Latin letters, where versions of Unicode differ in what is a
-        letter or has a lower case, the library's own normaliser splits the word.
+        letter or has a lower case, the library's own normaliser splits the words.
         """
-        if word.isascii():
-            return [p.encode() for p in self.split.findall(word.lower())]
-        if max(word) < "\u0250":
-            word = "".join(map(str.lower, unicodedata.normalize("NFC", word)))
-            return [p.encode() for p in self.split.findall(word)]
-        parts = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(word))
-        return [bytes(map(self.byte_of.__getitem__, p)) for p, _ in parts]
-
-    def learn(self, texts: list[str]) -> None:
-        """Encode the words of these texts that are not known yet."""
-        seen: set[bytes] = set()
-        for text in texts:
-            for piece in self._pieces(text)[::2]:
-                seen.update(piece.encode().split())
-        if len(self.known) + len(seen) > KEPT_WORDS:
-            self.known = {}
-        fresh = [w for w in seen if w not in self.known]
-        parts = [self._split(w.decode()) for w in fresh]
-        distinct = list({p for found in parts for p in found})
-        ids = merge_words(distinct, self.vocab)
-        name = self.vocab.tokens
-        told = {
-            p: (len(i), " ".join(map(str, i)), " ".join([name[x] for x in i]))
-            for p, i in zip(distinct, ids)
-        }
-        for word, found in zip(fresh, parts):
-            if len(found) == 1:
-                self.known[word] = told[found[0]]
-            elif found:
-                each = [told[p] for p in found]
-                self.known[word] = (
-                    sum(n for n, _, _ in each), " ".join([i for _, i, _ in each]),
-                    " ".join([t for _, _, t in each]))
+        if text.isascii():
+            return self.split.findall(text.lower())
+        if max(text) < "\u0250":
+            return self.split.findall("".join(map(str.lower, unicodedata.normalize("NFC", text))))
+        found = []
+        for word in re.split(r"[\x20\x09-\x0D]+", text):
+            if not word:
+                continue
+            if max(word) < "\u0250":
+                found.extend(self._parts(word))
             else:
-                self.known[word] = None
+                parts = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(word))
+                found.extend(bytes(map(self.byte_of.__getitem__, p)).decode() for p, _ in parts)
+        return found
+
+    def split_text(self, text: str) -> list[list[str] | str]:
+        """Lists of parts, and added tokens as they are, in turn."""
+        if self.added is None or "<|" not in text:
+            return [self._parts(text)]
+        return [piece if i % 2 else self._parts(piece) for i, piece in enumerate(self.added.split(text))]
+
+    def learn(self, texts: list[list[list[str] | str]]) -> None:
+        """Encode the parts of these split texts that are not known yet."""
+        seen: set[str] = set()
+        for pieces in texts:
+            for parts in pieces[::2]:
+                seen.update(parts)
+        if len(self.known) + len(seen) > KEPT_PARTS:
+            self.known = {p: self.known[p] for p in seen if p in self.known}
+        fresh = [p for p in seen if p not in self.known]
+        del seen
+        name = self.vocab.tokens
+        for begin in range(0, len(fresh), KEPT_PARTS):
+            some = fresh[begin : begin + KEPT_PARTS]
+            for p, i in zip(some, merge_words([p.encode() for p in some], self.vocab)):
+                self.known[p] = (len(i), " ".join(map(str, i)), " ".join([name[x] for x in i]))
 
-    def encode(self, text: str) -> tuple[int, str, str]:
+    def encode(self, pieces: list[list[str] | str]) -> tuple[int, str, str]:
         """Number of tokens, ids joined by spaces, decoded text."""
         known, found = self.known, []
-        for i, piece in enumerate(self._pieces(text)):
+        for i, piece in enumerate(pieces):
             if i % 2:
                 found.append((1, str(self.vocab.added[piece]), piece))
             else:
-                found.extend([known[w] for w in piece.encode().split()])
-        found = [x for x in found if x]
+                found.extend([known[p] for p in piece])
         return (
             sum([n for n, _, _ in found]), " ".join([i for _, i, _ in found]),
             " ".join([t for _, _, t in found]))
@@ -221,6 +217,18 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]
         yield ids, texts
 
 
+def _frame(ids: list, made: list[tuple[int, str, str]], keep_ids: bool) -> pd.DataFrame:
+    out = {
+        "rid": ids,
+        "n_tokens": [n for n, _, _ in made],
+        "ids_sha256": [hashlib.sha256(i.encode()).hexdigest() for _, i, _ in made],
+        "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for _, _, t in made],
+    }
+    if keep_ids:
+        out["token_ids"] = [np.array(i.split(), dtype=np.int32) for _, i, _ in made]
+    return pd.DataFrame(out)
+
+
 def bpe_round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
@@ -236,19 +244,16 @@ def bpe_round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFr
         vars(vocab).update(sent.value)
         encoder = Encoder(vocab)
         for ids, texts in _chunks(batches):
-            encoder.learn(texts)
-            step = 100 if keep_ids else 1000
-            for begin in range(0, len(ids), step):
-                made = [encoder.encode(t) for t in texts[begin : begin + step]]
-                out = {
-                    "rid": ids[begin : begin + step],
-                    "n_tokens": [n for n, _, _ in made],
-                    "ids_sha256": [hashlib.sha256(i.encode()).hexdigest() for _, i, _ in made],
-                    "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for _, _, t in made],
-                }
-                if keep_ids:
-                    out["token_ids"] = [[int(x) for x in i.split()] for _, i, _ in made]
-                yield pd.DataFrame(out)
+            pieces = [encoder.split_text(t) for t in texts]
+            encoder.learn(pieces)
+            begin, n, made = 0, 0, []
+            for k, document in enumerate(pieces):
+                pieces[k] = None
+                made.append(encoder.encode(document))
+                n += made[-1][0]
+                if n >= FRAME_TOKENS or len(made) == 1000 or k + 1 == len(pieces):
+                    yield _frame(ids[begin : k + 1], made, keep_ids)
+                    begin, n, made = k + 1, 0, []
 
     rows = docs.select(F.col("doc_id").cast("string").alias("rid"), text_or_empty().alias("text"))
     out = rows.mapInPandas(
