@@ -174,7 +174,14 @@ class Encoder:
             return [self._parts(text)]
         return [piece if i % 2 else self._parts(piece) for i, piece in enumerate(self.added.split(text))]
 
-    def learn(self, texts: list[list[list[str] | str]]) -> None:
+    def learn(self, texts: list[str]) -> None:
+        self.learn_split([self.split_text(t) for t in texts])
+
+    def encode(self, text: str) -> tuple[int, str, str]:
+        """Number of tokens, ids joined by spaces, decoded text, of a learned text."""
+        return self.encode_split(self.split_text(text))
+
+    def learn_split(self, texts: list[list[list[str] | str]]) -> None:
         """Encode the parts of these split texts that are not known yet."""
         seen: set[str] = set()
         for pieces in texts:
@@ -190,8 +197,7 @@ class Encoder:
             for p, i in zip(some, merge_words([p.encode() for p in some], self.vocab)):
                 self.known[p] = (len(i), " ".join(map(str, i)), " ".join([name[x] for x in i]))
 
-    def encode(self, pieces: list[list[str] | str]) -> tuple[int, str, str]:
-        """Number of tokens, ids joined by spaces, decoded text."""
+    def encode_split(self, pieces: list[list[str] | str]) -> tuple[int, str, str]:
         known, found = self.known, []
         for i, piece in enumerate(pieces):
             if i % 2:
@@ -245,11 +251,11 @@ def bpe_round_trip(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFr
         encoder = Encoder(vocab)
         for ids, texts in _chunks(batches):
             pieces = [encoder.split_text(t) for t in texts]
-            encoder.learn(pieces)
+            encoder.learn_split(pieces)
             begin, n, made = 0, 0, []
             for k, document in enumerate(pieces):
                 pieces[k] = None
-                made.append(encoder.encode(document))
+                made.append(encoder.encode_split(document))
                 n += made[-1][0]
                 if n >= FRAME_TOKENS or len(made) == 1000 or k + 1 == len(pieces):
                     yield _frame(ids[begin : k + 1], made, keep_ids)
