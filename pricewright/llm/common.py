@@ -40,17 +40,17 @@ def discard(df: DataFrame) -> None:
 def hot_limit(total: int) -> int:
     """From how many rows on a key counts as hot.
 
-    A thousandth of all rows, at most 50,000: below it a key is a small part of
-    a task, and at most 1,000 + total / 50,000 keys are above it.
+    A thousandth of all rows: below it a key is less than a task's share of a
+    large job, and at most 1,000 keys are above it, however large the corpus.
     """
-    return max(16, min(total // 1000, 50_000))
+    return max(16, total // 1000)
 
 
 def attach(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
     """Inner join of rows with one row per key, whatever share of rows a key has.
 
-    Keys with many rows are few (see ``hot_limit``), so they are broadcast and
-    their rows stay where they are; the others are shuffled. ``rows`` is read
+    At most 1,000 keys have many rows (see ``hot_limit``), so they are broadcast
+    and their rows stay where they are; the others are shuffled. ``rows`` is read
     twice and should be stored.
     """
     limit = hot_limit(total)

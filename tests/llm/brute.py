@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import permutations
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -116,3 +117,40 @@ def randomness(token: str, alphabet: str) -> float:
         p3 = max(chance, 1e-15) if chance < 0.001 else p3
     x = -2 * (math.log(p1) + math.log(p2) + math.log(p3))
     return math.exp(-x / 2) * (1 + x / 2 + x * x / 8)
+
+
+AUDIT = ("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+def filter_audit(docs: list[tuple], labels: list[tuple]) -> set[tuple]:
+    """All rows of the audit, by running every order over (doc_id, text, lang) rows."""
+    good = {i for i, quality, _ in labels if quality == 1 and i is not None}
+    toxic = {i for i, _, bad in labels if bad == 1 and i is not None}
+    first: dict[str, int] = {}
+    for i, t, _ in docs:
+        if i is not None:
+            first[t or ""] = min(i, first.get(t or "", i))
+    parts: dict[str, list] = {}
+    for i, t, lang in docs:
+        t = t or ""
+        words = WORD.findall(t)
+        fails = {
+            "A": len(words) < 100, "B": 100 * len(set(words)) < 80 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", t)) > 10 * len(t), "D": bool(re.search("[#$%&*|]", t)),
+            "E": i is not None and first[t] < i}
+        parts.setdefault(lang or "", []).append((i, {f for f, v in fails.items() if v}))
+    out = []
+    for part, rows in parts.items():
+        for order in permutations("ABCDE"):
+            left = rows
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                out.append([
+                    part, "".join(order), step, len(left), len(gone),
+                    sum(f in r[1] for r in rows) - len(gone), sum(r[1] == {f} for r in rows),
+                    sum(r[0] in good for r in gone), sum(r[0] in toxic for r in gone)])
+    total = Counter()
+    for r in out:
+        total[r[0], r[1][r[2] - 1]] += r[4]
+    return {(*r, total[r[0], r[1][r[2] - 1]]) for r in out}
