@@ -15,6 +15,7 @@ from .mixing import mix_counts
 from .ngram_join import ngram_join
 from .quality import quality_rules
 from .secrets import find_secrets
+from .simhash_join import simhash_groups
 from .toxicity import score_toxicity
 
 QUERIES = {}
@@ -136,3 +137,8 @@ SELECT part, filter_order, step::int AS step, kept::bigint AS kept, removed::big
        toxic_lost::bigint AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::bigint AS shapley
 FROM counts
 """
+
+
+@query
+def op13_simhash(spark, sf_dir):
+    return simhash_groups(documents(spark, sf_dir))

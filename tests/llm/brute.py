@@ -7,6 +7,8 @@ import re
 from collections import Counter
 from itertools import permutations
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -154,3 +156,28 @@ def filter_audit(docs: list[tuple], labels: list[tuple]) -> set[tuple]:
     for r in out:
         total[r[0], r[1][r[2] - 1]] += r[4]
     return {(*r, total[r[0], r[1][r[2] - 1]]) for r in out}
+
+
+def fingerprint(text: str | None) -> int:
+    words = WORD.findall(lower(text or ""))
+    runs = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [" ".join(words)] if words else []
+    hashes = [xxhash.xxh64(r.encode(), seed=42).intdigest() for r in runs]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def near_components(prints: dict[int, int], budget: int = 2) -> dict[int, int]:
+    """Smallest id reachable by fingerprints with few differing bits."""
+    parent = {i: i for i in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(prints)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            if (prints[i] ^ prints[j]).bit_count() <= budget:
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in prints}

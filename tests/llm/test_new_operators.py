@@ -14,7 +14,7 @@ from conftest import MEDIUM, SMALL  # noqa: E402
 from oracle import compare, connect  # noqa: E402
 from test_operators import EDGE, docs, edge, edge_labels, empty, texts  # noqa: E402, F401
 
-from pricewright.llm import filter_audit  # noqa: E402
+from pricewright.llm import filter_audit, simhash_join  # noqa: E402
 from pricewright.llm.registry import QUERIES, SQL  # noqa: E402
 
 
@@ -52,3 +52,49 @@ def test_filter_audit_random(spark):
         spark.createDataFrame(rows, "doc_id long, text string, lang string"),
         spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
     assert {tuple(r[c] for c in brute.AUDIT) for r in out} == brute.filter_audit(rows, labels)
+
+
+def test_simhash_equals_brute_force(docs, texts):
+    got = {r.doc_id: r for r in QUERIES["op13_simhash"](docs.sparkSession, MEDIUM).collect()}
+    prints = {i: brute.fingerprint(t) for i, t in texts.items()}
+    assert {i: r.fingerprint for i, r in got.items()} == {i: f"{v:016x}" for i, v in prints.items()}
+    assert {i: r.component_id for i, r in got.items()} == brute.near_components(prints)
+
+
+@pytest.mark.parametrize("node_rows", [2, 40, 50_000])
+def test_trie_join_equals_brute_force(spark, node_rows):
+    """Crowded subcubes, chains over all bits and the highest bit; nodes cut down to pairs."""
+    rng = random.Random(node_rows)
+    some = [rng.getrandbits(64) for _ in range(120)]
+    some += [some[0] ^ sum(1 << b for b in rng.sample(range(64), rng.choice((1, 2, 3, 4)))) for _ in range(60)]
+    some += [some[1] ^ rng.getrandbits(7) << 30 for _ in range(60)]
+    for k in range(20):
+        some.append(some[-1] ^ (1 << rng.randrange(64)) ^ (1 << 63))
+    prints = dict(enumerate(some))
+    points = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in set(some)], "fingerprint long")
+    links = [(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash_join.fingerprint_links(points, node_rows).collect()]
+    assert all(a != b and (a ^ b).bit_count() <= 2 for a, b in links)
+    parent = {v: v for v in some}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in links:
+        parent[find(a)] = find(b)
+    want = brute.near_components(prints)
+    assert len({find(v) for v in some}) == len(set(want.values()))
+    assert all((find(some[i]) == find(some[j])) == (want[i] == want[j]) for i in prints for j in prints)
+
+
+def test_simhash_edges(spark, edge, empty):
+    out = simhash_join.simhash_groups(edge).collect()
+    rows = edge.select("doc_id", "text").collect()
+    assert sorted((r.doc_id or -1, int(r.fingerprint, 16)) for r in out) == sorted(
+        (r.doc_id or -1, brute.fingerprint(r.text)) for r in rows)
+    assert {r.component_id for r in out if int(r.fingerprint, 16) == 0} == {1}
+    assert {r.component_id for r in out if r.doc_id in (4, 5)} == {4}
+    lone = spark.createDataFrame([(None, "a b c d"), (None, "a b c d")], "doc_id long, text string")
+    assert [r.component_id for r in simhash_join.simhash_groups(lone).collect()] == [None, None]
+    assert simhash_join.simhash_groups(empty).count() == 0
