@@ -13,6 +13,7 @@ from .licenses import document_paths, scan_licences
 from .line_dedup import line_dedup
 from .mixing import mix_counts
 from .ngram_join import ngram_join
+from .periodic_runs import periodic_runs
 from .quality import quality_rules
 from .secrets import find_secrets
 from .simhash_join import simhash_groups
@@ -142,3 +143,8 @@ FROM counts
 @query
 def op13_simhash(spark, sf_dir):
     return simhash_groups(documents(spark, sf_dir))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs(documents(spark, sf_dir))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import zlib
 from collections import Counter
+from fractions import Fraction
 from itertools import permutations
 
 import xxhash
@@ -181,3 +184,44 @@ def near_components(prints: dict[int, int], budget: int = 2) -> dict[int, int]:
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in prints}
+
+
+def periodic_words(doc_id: int | None, text: str | None) -> list[str]:
+    words = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if doc_id is not None and h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    return words
+
+
+def runs(words: list, least: int = 6, repeats: int = 4) -> list[tuple[int, int, int]]:
+    """(start, length, period) by trying every period."""
+    found: dict[tuple[int, int], int] = {}
+    n = len(words)
+    for q in range(1, n // repeats + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i + q - start
+            if length >= max(least, repeats * q):
+                found.setdefault((start, length), q)       # the smallest period of a stretch is met first
+    return sorted((s, length, q) for (s, length), q in found.items())
+
+
+def run_row(words: list[str]) -> tuple:
+    found = runs(words)
+    gone = {k for s, n, q in found for k in range(s + q, s + n)}
+    listed = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+    kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    return (
+        len(found), *(best or (None, None, None)), 1000 * best[1] // best[2] if best else None,
+        hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())

@@ -14,7 +14,7 @@ from conftest import MEDIUM, SMALL  # noqa: E402
 from oracle import compare, connect  # noqa: E402
 from test_operators import EDGE, docs, edge, edge_labels, empty, texts  # noqa: E402, F401
 
-from pricewright.llm import filter_audit, simhash_join  # noqa: E402
+from pricewright.llm import filter_audit, periodic_runs, simhash_join  # noqa: E402
 from pricewright.llm.registry import QUERIES, SQL  # noqa: E402
 
 
@@ -98,3 +98,73 @@ def test_simhash_edges(spark, edge, empty):
     lone = spark.createDataFrame([(None, "a b c d"), (None, "a b c d")], "doc_id long, text string")
     assert [r.component_id for r in simhash_join.simhash_groups(lone).collect()] == [None, None]
     assert simhash_join.simhash_groups(empty).count() == 0
+
+
+RUN_COLUMNS = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def test_periodic_runs_equal_brute_force(spark, docs, texts):
+    short = docs.where("length(text) < 6000")
+    got = {r.doc_id: tuple(r[c] for c in RUN_COLUMNS) for r in periodic_runs.periodic_runs(short).collect()}
+    for i, row in got.items():
+        assert row == brute.run_row(brute.periodic_words(i, texts[i])), i
+    assert sum(row[0] > 0 for row in got.values()) > 0.05 * len(got)
+    assert QUERIES["op11_periodic_runs"](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+
+
+def _lyndon(v):
+    """By the definition: the longest prefix of each suffix that is smaller than all its own suffixes."""
+    n = len(v)
+    return [max(k for k in range(1, n - i + 1) if all(v[i : i + k] < v[j : i + k] for j in range(i + 1, i + k))) for i in range(n)]
+
+
+def test_lyndon_array():
+    rng = random.Random(9)
+    for _ in range(1500):
+        v = [rng.randrange(rng.choice((1, 2, 3, 9))) for _ in range(rng.randrange(1, 28))]
+        ranks = np.unique(v, return_inverse=True)[1]
+        assert periodic_runs.lyndon_array(ranks).tolist() == _lyndon(v)
+        high = ranks.max() - ranks
+        assert periodic_runs.lyndon_array(high).tolist() == _lyndon(high.tolist())
+
+
+def test_runs_of_random_words():
+    """All runs of two periods and more, of random, periodic and Fibonacci words."""
+    rng = random.Random(10)
+    words = [[rng.randrange(rng.choice((1, 2, 2, 3))) for _ in range(rng.randrange(1, 90))] for _ in range(600)]
+    a, b = [0], [0, 1]
+    while len(b) < 300:
+        a, b = b, b + a
+    words += [b, [0] * 50, [0, 0, 1] * 30 + [0] * 9, ([0, 1] * 5 + [2]) * 7]
+    for v in words:
+        ranks = np.unique(v, return_inverse=True)[1]
+        assert periodic_runs.find_runs(ranks, 2, 2) == brute.runs(v, 2, 2)
+        assert periodic_runs.find_runs(ranks) == brute.runs(v)
+
+
+def test_candidates_cover_all_runs(spark):
+    """Runs of every period between ordinary words, many to a document, at its ends, next to each other."""
+    rng = random.Random(20)
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(rng.randrange(1, 6)):
+            words += [f"w{rng.randrange(400)}" for _ in range(rng.choice((0, 3, 40)))]
+            root = [rng.choice("abcd") for _ in range(rng.choice((1, 2, 3, 4, 5, 6, 9, 10, 11, 40)))]
+            words += (root * 9)[: rng.randrange(3 * len(root), 8 * len(root))]
+        rows.append((i, rng.choice((" ", "\n", " \t ")).join(words)))
+    out = periodic_runs.periodic_runs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    texts = dict(rows)
+    assert len(out) == len(rows)
+    for r in out:
+        assert tuple(r[c] for c in RUN_COLUMNS) == brute.run_row(brute.periodic_words(r.doc_id, texts[r.doc_id]))
+
+
+def test_periodic_runs_edges(edge, empty):
+    out = periodic_runs.periodic_runs(edge).collect()
+    rows = edge.select("doc_id", "text").collect()
+    key = lambda x: tuple((v is None, v or 0) for v in x)
+    want = [(r.doc_id, *brute.run_row(brute.periodic_words(r.doc_id, r.text))) for r in rows if r.doc_id != 7]
+    assert sorted((tuple(r) for r in out if r.doc_id != 7), key=key) == sorted(want, key=key)
+    assert [(r.n_runs, r.start, r.period) for r in out if r.doc_id == 7] == [(1, 0, 10)]
+    assert periodic_runs.periodic_runs(empty).count() == 0
