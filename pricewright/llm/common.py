@@ -64,33 +64,36 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, tota
 def components(edges: DataFrame, store: Callable[[DataFrame, str], DataFrame] = stored) -> DataFrame:
     """Connected components of (a, b) long pairs: rows (id, component), the smallest id reachable.
 
-    Every node hooks onto the smallest label around it, then labels are
-    shortened by one pointer jump; the rounds grow with the logarithm of the
-    longest chain. Labels go to the shared folder after each round.
+    Every node, and the node its label names, hooks onto the smallest label
+    around it, then labels are shortened by one pointer jump; the rounds grow
+    with the logarithm of the longest chain. Labels go to the shared folder
+    after each round. Nodes with many edges and labels of many nodes are joined
+    with ``attach``, so neither is one task's work.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = store(both.where("a <> b").distinct(), "edges")
     labels = store(
-        both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-        .select("id", F.least("id", "m").alias("component")), "labels")
+        both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"), F.count("*").alias("n_edges"))
+        .select("id", F.least("id", "m").alias("component"), "n_edges"), "labels")
+    n_nodes, n_edges = labels.agg(F.count("*"), F.sum("n_edges")).first()
     while True:
-        near = both.join(labels.select(F.col("id").alias("b"), "component"), "b")
+        near = attach(both, labels.withColumnRenamed("id", "b"), ["b"], "n_edges", n_edges or 0)
+        best = near.groupBy(F.col("a").alias("id")).agg(F.min("component").alias("best"))
         # the best label next to a node is offered to the node and to its present root
-        offers = near.join(labels.select(F.col("id").alias("a"), F.col("component").alias("own")), "a")
-        offers = offers.where("component < own")
-        offers = offers.select(F.explode(F.array("a", "own")).alias("id"), "component")
-        best = offers.groupBy("id").agg(F.min("component").alias("offer"))
-        hooked = labels.join(best, "id", "left").select(
-            "id", F.least("component", F.coalesce("offer", "component")).alias("component"))
-        roots = hooked.select(F.col("id").alias("component"), F.col("component").alias("next"))
-        jumped = store(
-            hooked.join(roots, "component", "left")
-            .select("id", F.least("component", F.coalesce("next", "component")).alias("component")),
-            "labels")
-        changed = jumped.join(labels.withColumnRenamed("component", "before"), "id").where(
-            "component <> before").limit(1).count()
+        offers = labels.join(best, "id").where("best < component")
+        offers = offers.select(F.explode(F.array("id", "component")).alias("id"), "best")
+        offers = offers.groupBy("id").agg(F.min("best").alias("offer"))
+        hooked = store(labels.join(offers, "id", "left").select(
+            "id", F.least("component", F.coalesce("offer", "component")).alias("component"),
+            F.col("component").alias("before"), "n_edges"), "hooked")
+        next_of = hooked.select(F.col("id").alias("component"), F.col("component").alias("next"))
+        named = hooked.groupBy("component").agg(F.count("*").alias("n_named")).join(next_of, "component")
+        jumped = store(attach(hooked, named, ["component"], "n_named", n_nodes).select(
+            "id", F.least("component", "next").alias("component"), "before", "n_edges"), "labels")
+        changed = jumped.where("component <> before").limit(1).count()
         discard(labels)
-        labels = jumped
+        discard(hooked)
+        labels = jumped.drop("before")
         if not changed:
             discard(both)
-            return labels
+            return labels.drop("n_edges")
