@@ -19,7 +19,6 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -27,14 +26,28 @@ from .common import text_or_empty
 
 #: Code points of text that are merged together, and distinct parts of words remembered, per task.
 CHUNK_CHARS = 3_000_000
-KEPT_PARTS = 150_000
+KEPT_PARTS = 300_000
 #: Tokens in a frame that goes back to Spark.
 FRAME_TOKENS = 200_000
 
 # Fixed values of the file format: how bytes are written as characters, and the
 # pattern that splits normalised text.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
+# 's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+
+
+
+#: Texts below this character are split by a pattern of plain character classes.
+_LATIN_END = 0x250
+
+
+def _latin_split() -> re.Pattern:
+    """The same pattern over the Latin letters, with its classes written out."""
+    latin = [chr(i) for i in range(_LATIN_END)]
+    kinds = [unicodedata.category(c) for c in latin]
+    letters = "".join(re.escape(c) for c, k in zip(latin, kinds) if k[0] == "L")
+    numbers = "".join(re.escape(c) for c, k in zip(latin, kinds) if k[0] == "N")
+    space = "\\x09-\\x0d\\x20\\x85\\xa0"
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+")
 
 
 def _byte_chars() -> list[str]:
@@ -141,7 +154,7 @@ class Encoder:
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.known: dict[str, tuple[int, str, str]] = {}
-        self.split = regex.compile(_SPLIT)
+        self.split = _latin_split()
         self.library = Tokenizer.from_str(vocab.frame)     # no vocabulary: splits words only
         self.byte_of = {c: b for b, c in enumerate(_byte_chars())}
         added = "|".join(map(re.escape, sorted(vocab.added, key=len, reverse=True)))
@@ -155,13 +168,13 @@ class Encoder:
         """
         if text.isascii():
             return self.split.findall(text.lower())
-        if max(text) < "\u0250":
+        if max(text) < chr(_LATIN_END):
             return self.split.findall("".join(map(str.lower, unicodedata.normalize("NFC", text))))
         found = []
         for word in re.split(r"[\x20\x09-\x0D]+", text):
             if not word:
                 continue
-            if max(word) < "\u0250":
+            if max(word) < chr(_LATIN_END):
                 found.extend(self._parts(word))
             else:
                 parts = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(word))

@@ -130,6 +130,16 @@ def test_bpe_equals_library(texts):
         assert decoded == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_bpe_of_each_latin_character():
+    """Letters, numbers, white space and controls below U+0250, alone and between others."""
+    everything = [f"a{chr(i)}b 1{chr(i)}2 {chr(i)}{chr(i)} x'{chr(i)}ll" for i in range(1, 0x260)]
+    encoder = bpe.Encoder(bpe.Vocabulary(VOCABULARY))
+    encoder.learn(everything)
+    library = Tokenizer.from_file(VOCABULARY)
+    for text, want in zip(everything, library.encode_batch(everything, add_special_tokens=False)):
+        assert encoder.encode(text)[1] == " ".join(map(str, want.ids)), ascii(text)
+
+
 def test_bpe_edges(edge, empty):
     out = bpe.bpe_round_trip(edge, VOCABULARY, keep_ids=True).collect()
     assert len(out) == len(EDGE) and {r.n_tokens for r in out if r.doc_id in (1, 2, 3)} == {0}
