@@ -36,8 +36,8 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 # 's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+
 
 
-#: Texts below this character are split by a pattern of plain character classes.
-_LATIN_END = 0x250
+#: Texts below this character, whose lower case lies below it too, are split by plain character classes.
+_LATIN_END = 0x180
 
 
 def _latin_split() -> re.Pattern:
