@@ -81,7 +81,7 @@ freq AS (
   FROM base WHERE bucket < 70 GROUP BY "type"
 ),
 raw AS (
-  SELECT row_key, bucket, "type", m, idx, "year"::double AS x0,
+  SELECT row_key, bucket, "type", m, idx, "AveragePrice" AS y, "year"::double AS x0,
          CASE WHEN hi > lo THEN (m - lo)::double / (hi - lo) ELSE 0.5 END AS x1,
          {', '.join(f'{_q("LOG " + c)} AS x{i + 2}' for i, c in enumerate(LOGS))}
   FROM base, span, freq WHERE freq.level = base."type"
@@ -96,6 +96,97 @@ def _z(i: int, name: str) -> str:
     return f"round(CASE WHEN s{i} > 0 THEN (x{i} - m{i}) / s{i} ELSE 0 END, 6) AS {name}"
 
 
+# --- the search of the linear model: coordinate descent as a recursive table ---------------
+
+_SIZE = 10      # 1, eight features, label
+DESCENT = f"""
+vectors AS (
+  SELECT bucket % 10 AS fold,
+         [1.0, {', '.join(f"CASE WHEN s{i} > 0 THEN (x{i} - m{i}) / s{i} ELSE 0 END" for i in range(7))}, idx, y] AS v
+  FROM raw, fit WHERE bucket < 70
+),
+products AS (
+  SELECT fold, i, j, sum(v[i] * v[j]) AS s FROM vectors, range(1, {_SIZE + 1}) a(i), range(1, {_SIZE + 1}) b(j)
+  GROUP BY fold, i, j
+),
+others AS (
+  SELECT fold, i, j, s AS own, sum(s) OVER (PARTITION BY i, j) - s AS t FROM products
+),
+heads AS (
+  SELECT fold, max(t) FILTER (i = 1 AND j = 1) AS n, list(t ORDER BY j) FILTER (i = 1) AS sums FROM others GROUP BY fold
+),
+covariances AS (
+  SELECT fold, i, j, t / n - sums[i] / n * sums[j] / n AS c, sums[i] / n AS mean_i
+  FROM others JOIN heads USING (fold)
+),
+spreads AS (
+  SELECT fold, i, sqrt(greatest(c, 0)) AS s, sqrt(greatest(c, 0)) > 1e-9 * abs(mean_i) AS live
+  FROM covariances WHERE i = j
+),
+scaled AS (
+  SELECT c.fold, c.i, c.j, c.c / CASE WHEN a.live THEN a.s ELSE 1 END / CASE WHEN b.live THEN b.s ELSE 1 END AS a
+  FROM covariances c JOIN spreads a ON a.fold = c.fold AND a.i = c.i JOIN spreads b ON b.fold = c.fold AND b.i = c.j
+),
+lines AS (
+  SELECT fold, i, list(a ORDER BY j) FILTER (j BETWEEN 2 AND {_SIZE - 1}) AS line, max(a) FILTER (j = {_SIZE}) AS r
+  FROM scaled WHERE i BETWEEN 2 AND {_SIZE - 1} GROUP BY fold, i
+),
+systems AS (
+  SELECT fold, list(line ORDER BY i) AS a, list(r ORDER BY i) AS r FROM lines GROUP BY fold
+),
+settings AS (
+  SELECT fold, a, r, reg, mix, reg * mix / s AS l1, reg * (1 - mix) / s AS l2,
+         live, scales, s AS sy
+  FROM systems JOIN (
+    SELECT fold, max(s) FILTER (i = {_SIZE}) AS s,
+           list(live ORDER BY i) FILTER (i BETWEEN 2 AND {_SIZE - 1}) AS live,
+           list(CASE WHEN live THEN s ELSE 1 END ORDER BY i) FILTER (i BETWEEN 2 AND {_SIZE - 1}) AS scales
+    FROM spreads GROUP BY fold) USING (fold),
+    (VALUES (0.05::double), (0.1), (0.2), (0.5)) p(reg), (VALUES (0.01::double), (0.5), (1.0)) e(mix)
+),
+descent AS (
+  SELECT fold, reg, mix, 0 AS step, [{', '.join(['0.0::double'] * (_SIZE - 2))}] AS beta, 0.0::double AS worst FROM settings
+  UNION ALL
+  SELECT fold, reg, mix, step + 1, list_transform(beta, lambda x, i: CASE WHEN i = k THEN moved ELSE x END),
+         greatest(CASE WHEN k = 1 THEN 0 ELSE worst END, abs(moved - beta[k]))
+  FROM (
+    SELECT *, CASE WHEN live[k] THEN sign(rest) * greatest(abs(rest) - l1, 0) / (a[k][k] + l2) ELSE 0 END AS moved
+    FROM (
+      SELECT d.*, s.a, s.l1, s.l2, s.live, step % {_SIZE - 2} + 1 AS k,
+             s.r[step % {_SIZE - 2} + 1] - list_dot_product(s.a[step % {_SIZE - 2} + 1], beta)
+             + s.a[step % {_SIZE - 2} + 1][step % {_SIZE - 2} + 1] * beta[step % {_SIZE - 2} + 1] AS rest
+      FROM descent d JOIN settings s ON s.fold = d.fold AND s.reg = d.reg AND s.mix = d.mix
+      WHERE step < 500 * {_SIZE - 2} AND NOT (step > 0 AND step % {_SIZE - 2} = 0 AND worst <= 1e-10)))
+),
+fits AS (
+  SELECT fold, reg, mix, sums[{_SIZE}] / n - list_dot_product(list_transform(sums[2:{_SIZE - 1}], lambda x: x / n), beta) AS b0,
+         beta, worst <= 1e-10 AS converged
+  FROM (
+    SELECT d.fold, d.reg, d.mix, d.worst, list_transform(d.beta, lambda b, i: b * sy / scales[i]) AS beta
+    FROM descent d JOIN settings s ON s.fold = d.fold AND s.reg = d.reg AND s.mix = d.mix
+    QUALIFY row_number() OVER (PARTITION BY d.fold, d.reg, d.mix ORDER BY step DESC) = 1
+  ) JOIN heads USING (fold)
+),
+scores AS (
+  SELECT reg, mix, avg(rmse) AS avg_rmse FROM (
+    SELECT fold, reg, mix, sqrt(greatest(sum(w[i] * w[j] * own), 0) / max(own) FILTER (i = 1 AND j = 1)) AS rmse
+    FROM (SELECT fold, reg, mix, list_concat(list_concat([-b0], list_transform(beta, lambda b: -b)), [1.0::double]) AS w FROM fits)
+    JOIN others USING (fold) GROUP BY fold, reg, mix)
+  GROUP BY reg, mix
+)"""
+
+# The other settings of the regressor, as the library names them.
+LINEAR_SETTINGS = {
+    "aggregationDepth": "2", "epsilon": "1.35", "featuresCol": "features", "fitIntercept": "True",
+    "labelCol": "AveragePrice", "loss": "squaredError", "maxBlockSizeInMB": "0.0", "maxIter": "500",
+    "predictionCol": "prediction", "solver": "auto", "standardization": "True", "tol": "1e-06",
+}
+
+
+def _recursive(body: str) -> str:
+    return _with(body, LINEAR.strip(), DESCENT.strip()).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 # --- fixed predictors ---------------------------------------------------------------------
 
 FIXED = """
@@ -286,6 +377,21 @@ FROM (VALUES (0.05::double), (0.1), (0.2), (0.5)) r(reg_param),
      (SELECT bucket % 10 AS fold, count(*) AS held_out FROM market WHERE bucket < 70 GROUP BY 1),
      (SELECT count(*) AS total FROM market WHERE bucket < 70)"""
     ),
+    "q_elastic_net": _recursive(
+        "SELECT fold, reg AS reg_param, mix AS elastic_net_param, round(b0, 2) AS intercept, "
+        + ", ".join(f"round(beta[{i + 1}], 2) AS c{i}" for i in range(_SIZE - 2))
+        + ", converged FROM fits"
+    ),
+    "q_cv_avg": _recursive(
+        'SELECT reg AS "regParam", mix AS "elasticNetParam", round(avg_rmse, 4) AS avg_rmse FROM scores'
+    ),
+    "q_best_params": _recursive(
+        """SELECT 'regParam' AS param, reg::varchar AS "value" FROM best
+UNION ALL SELECT 'elasticNetParam', mix::varchar FROM best
+UNION ALL SELECT 'weightCol', NULL
+"""
+        + "\n".join(f"UNION ALL SELECT '{k}', '{v}'" for k, v in LINEAR_SETTINGS.items())
+    ).replace("\nSELECT 'regParam'", ",\nbest AS (SELECT reg, mix FROM scores ORDER BY avg_rmse LIMIT 1)\nSELECT 'regParam'"),
     "q_ols": _with(
         """SELECT count(*) AS rows, round(regr_slope("AveragePrice", "Total Volume"), 4) AS slope,
   round(regr_intercept("AveragePrice", "Total Volume"), 4) AS intercept

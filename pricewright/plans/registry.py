@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import calendar_columns, month_name, parse_date, type_code
 from ..operators import profile
+from ..operators.elastic import elastic_net_fits, grouped_moments, without_each
 from ..operators.encoders import DummyEncoder, PopulationScaler
 from ..operators.kernel import fit_kernel_regression
 from ..operators.knn import knn_regression
 from ..operators.ledger import Ledger, Run
+from ..operators.lsh import approximate_neighbours
 from ..operators.metrics import METRICS, evaluate, leaderboard, long_predictions
 from ..operators.models import (
     SWEEPS,
@@ -320,6 +322,22 @@ def q_cv_avg(spark, sf_dir):
     return score_frame(spark, scores).withColumn("avg_rmse", _r("avg_rmse", 4))
 
 
+@query
+def q_elastic_net(spark, sf_dir):
+    """Intercept and coefficients of all 120 fits of the search, fitted inside Spark."""
+    train = train_part(market(spark, sf_dir))
+    rows = fit_features(train, keep=["bucket"]).transform(model_columns(train, ["bucket"]))
+    vector = vector_to_array("features")
+    columns = [vector[i].alias(c) for i, c in enumerate(LINEAR_FEATURES)]
+    moments = grouped_moments(
+        rows.select(fold_of(FOLDS).alias("fold"), LABEL, *columns), LINEAR_FEATURES, LABEL, ["fold"])
+    grid = [(p["regParam"], p["elasticNetParam"]) for p in linear_grid()]
+    fits = elastic_net_fits(without_each(moments, "fold"), grid, len(LINEAR_FEATURES))
+    return fits.select(
+        "fold", "reg_param", "elastic_net_param", _r("intercept", 2).alias("intercept"),
+        *[_r(F.get("coefficients", F.lit(i)), 2).alias(f"c{i}") for i in range(len(LINEAR_FEATURES))], "converged")
+
+
 @query
 def q_best_params(spark, sf_dir):
     trained = train_linear(*split(market(spark, sf_dir)))
@@ -420,6 +438,14 @@ def q_knn(spark, sf_dir):
     return out.withColumn("prediction", _r("prediction", 4))
 
 
+@query
+def q_knn_lsh(spark, sf_dir):
+    """Five near training rows for every test row, by hashing; exact distances."""
+    with _comparison(spark, sf_dir) as (_, train, test):
+        out = approximate_neighbours(test, train, 5)
+    return out.withColumn("distance", _r("distance", 6)).withColumn("label", _r("label", 4))
+
+
 @query
 def q_params(spark, sf_dir):
     """Parameters of the fitted linear price model with their meaning."""
