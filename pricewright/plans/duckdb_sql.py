@@ -187,6 +187,67 @@ def _recursive(body: str) -> str:
     return _with(body, LINEAR.strip(), DESCENT.strip()).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+# --- trees of one split: every threshold of every feature --------------------------------
+
+_TREE_COLUMNS = [*VOLUMES, "type_code", "sold_year", "sold_month"]
+_TREE_VALUES = {
+    **{c: f"{_q(c)}::double" for c in VOLUMES}, "type_code": f"({TYPE_CASE})::double",
+    "sold_year": '"year"::double', "sold_month": "shipped_month::double",
+}
+TREE_ROWS = f"""
+sample AS (SELECT row_key, "AveragePrice" AS y FROM market WHERE bucket < 70),
+base AS (SELECT avg(y) AS base FROM sample),
+cells AS (
+  SELECT row_key, f, x FROM (
+    SELECT row_key, unnest(range({len(_TREE_COLUMNS)})) AS f,
+           unnest([{', '.join(_TREE_VALUES[c] for c in _TREE_COLUMNS)}]) AS x
+    FROM market WHERE bucket < 70)
+)"""
+
+
+def _stump(name: str, source: str, penalty: float, least: int) -> str:
+    """Tables of the best split of (row_key, g) rows with second derivative one."""
+    score = lambda g, h: f"({g}) * ({g}) / ({h} + {penalty})"
+    return f"""
+{name}_sums AS (
+  SELECT f, x, sum(g) AS g, count(*) AS n FROM cells JOIN {source} USING (row_key) GROUP BY f, x
+),
+{name}_cuts AS (
+  SELECT f, (x + lead(x) OVER (PARTITION BY f ORDER BY x)) / 2 AS cut,
+         sum(g) OVER (PARTITION BY f ORDER BY x) AS gl, sum(n) OVER (PARTITION BY f ORDER BY x) AS nl,
+         sum(g) OVER (PARTITION BY f) AS gt, sum(n) OVER (PARTITION BY f) AS nt
+  FROM {name}_sums
+),
+{name}_gains AS (
+  SELECT *, {score('gl', 'nl')} + {score('gt - gl', 'nt - nl')} - {score('gt', 'nt')} AS gain
+  FROM {name}_cuts WHERE cut IS NOT NULL AND nl >= {least} AND nt - nl >= {least}
+),
+{name} AS (
+  SELECT f, cut, nl, nt, -gl / (nl + {penalty}) AS lower, -(gt - gl) / (nt - nl + {penalty}) AS upper,
+         -gt / (nt + {penalty}) AS whole
+  FROM {name}_gains ORDER BY round(gain / (SELECT max(gain) FROM {name}_gains), 9) DESC, f, cut LIMIT 1
+)"""
+
+
+def _nodes(tree: int, name: str) -> str:
+    names = "[" + ", ".join(f"'{c}'" for c in _TREE_COLUMNS) + "]"
+    return f"""SELECT {tree}::int AS tree, 0::int AS node, 0::int AS depth, nt::bigint AS rows, {names}[f + 1] AS feature,
+  round(cut, 4) AS threshold, round(whole, 4) AS "value", round(base, 4) AS base FROM {name}, base
+UNION ALL SELECT {tree}, 1, 1, nl::bigint, NULL, NULL, round(lower, 4), round(base, 4) FROM {name}, base
+UNION ALL SELECT {tree}, 2, 1, (nt - nl)::bigint, NULL, NULL, round(upper, 4), round(base, 4) FROM {name}, base"""
+
+
+_LEAF = "CASE WHEN x <= cut THEN lower ELSE upper END"
+BOOSTED = (
+    TREE_ROWS.strip(),
+    'first_errors AS (SELECT row_key, base - y AS g FROM sample, base)',
+    _stump("one", "first_errors", 1.0, 1).strip(),
+    f"""second_errors AS (
+  SELECT row_key, g + 0.3 * {_LEAF} AS g FROM first_errors JOIN cells USING (row_key) JOIN one USING (f)
+)""",
+    _stump("two", "second_errors", 1.0, 1).strip(),
+)
+
 # --- fixed predictors ---------------------------------------------------------------------
 
 FIXED = """
@@ -392,6 +453,21 @@ UNION ALL SELECT 'weightCol', NULL
 """
         + "\n".join(f"UNION ALL SELECT '{k}', '{v}'" for k, v in LINEAR_SETTINGS.items())
     ).replace("\nSELECT 'regParam'", ",\nbest AS (SELECT reg, mix FROM scores ORDER BY avg_rmse LIMIT 1)\nSELECT 'regParam'"),
+    "q_stump": _with(
+        _nodes(0, "one"), TREE_ROWS.strip(), "errors AS (SELECT row_key, base - y AS g FROM sample, base)",
+        _stump("one", "errors", 0.0, 4).strip(),
+    ),
+    "q_boosted_stumps": _with(_nodes(0, "one") + "\nUNION ALL " + _nodes(1, "two"), *BOOSTED),
+    "q_tree_scored_in_sql": _with(
+        f"""SELECT row_key, round(any_value(base)
+  + 0.3 * max({_LEAF.replace('cut', 'one.cut').replace('lower', 'one.lower').replace('upper', 'one.upper')}) FILTER (c.f = one.f)
+  + 0.3 * max({_LEAF.replace('cut', 'two.cut').replace('lower', 'two.lower').replace('upper', 'two.upper')}) FILTER (c.f = two.f), 4) AS prediction
+FROM (SELECT row_key, unnest(range({len(_TREE_COLUMNS)})) AS f,
+             unnest([{', '.join(_TREE_VALUES[c] for c in _TREE_COLUMNS)}]) AS x
+      FROM market WHERE bucket >= 70) c, one, two, base
+GROUP BY row_key""",
+        *BOOSTED,
+    ),
     "q_ols": _with(
         """SELECT count(*) AS rows, round(regr_slope("AveragePrice", "Total Volume"), 4) AS slope,
   round(regr_intercept("AveragePrice", "Total Volume"), 4) AS intercept

@@ -35,6 +35,7 @@ from ..operators.models import (
 from ..operators.persist import load_model, save_model, score_and_evaluate
 from ..operators.split import fold_of, split, train_part
 from ..operators.tuning import log_sweep, score_frame, sweep
+from ..operators.trees import fit_boosted, fit_forest, fit_tree
 from ..session import new_path
 from ..sources import market, read_market_csv, rows_per_file, table, write_market_csv
 from ..streaming import requests_by_client, score_stream, size_histogram
@@ -46,6 +47,7 @@ from .pipelines import (
     LINEAR_FEATURES,
     VOLUME_COLUMNS,
     comparison_columns,
+    comparison_expressions,
     feature_sql,
     fit_comparison_features,
 )
@@ -423,6 +425,74 @@ def q_gbt(spark, sf_dir):
     )
 
 
+# the columns a tree can take as they are: scaling does not change a split
+TREE_COLUMNS = (*VOLUME_COLUMNS, "type_code", "sold_year", "sold_month")
+
+
+def _tree_rows(rows: DataFrame) -> DataFrame:
+    """Key, label, the columns of a tree one by one and as an array."""
+    rows = rows.select("*", *[F.expr(e) for e in comparison_expressions()])
+    columns = [F.col(f"`{c}`").cast("double").alias(c) for c in TREE_COLUMNS]
+    rows = rows.select("row_key", F.col(LABEL).alias("label"), *columns)
+    return rows.withColumn("features", F.array(*[F.col(f"`{c}`") for c in TREE_COLUMNS]))
+
+
+@query
+def q_stump(spark, sf_dir):
+    """The best single split of the training rows and both its leaves."""
+    train = _tree_rows(train_part(market(spark, sf_dir)))
+    model = fit_tree(train, max_depth=1, min_samples_split=10, min_samples_leaf=4)
+    return _spelled_nodes(model.nodes(spark, TREE_COLUMNS), model.base)
+
+
+def _spelled_nodes(nodes: DataFrame, base: float) -> DataFrame:
+    return nodes.select(
+        "tree", "node", "depth", "rows", "feature", _r("threshold", 4).alias("threshold"),
+        _r("value", 4).alias("value"), F.round(F.lit(base), 4).alias("base"))
+
+
+@query
+def q_boosted_stumps(spark, sf_dir):
+    """Two rounds of second-order boosting with one split each."""
+    train = _tree_rows(train_part(market(spark, sf_dir)))
+    model = fit_boosted(train, n_estimators=2, max_depth=1, learning_rate=0.3)
+    return _spelled_nodes(model.nodes(spark, TREE_COLUMNS), model.base)
+
+
+@query
+def q_tree_scored_in_sql(spark, sf_dir):
+    """A boosted model written out as one SQL expression, over the test rows."""
+    train, test = split(market(spark, sf_dir))
+    model = fit_boosted(_tree_rows(train), n_estimators=2, max_depth=1, learning_rate=0.3)
+    expression = model.to_sql([f"`{c}`" for c in TREE_COLUMNS])
+    return _tree_rows(test).select("row_key", F.round(F.expr(expression), 4).alias("prediction"))
+
+
+def _tree_metrics(spark, sf_dir, fit, **params) -> DataFrame:
+    train, test = split(market(spark, sf_dir))
+    model = fit(_tree_rows(train), **params)
+    return _rounded_metrics(evaluate(model.transform(_tree_rows(test)), "label", "prediction"))
+
+
+@query
+def q_tree_unlimited(spark, sf_dir):
+    """A tree without a depth limit; nodes of ten rows are tried, leaves hold four."""
+    return _tree_metrics(spark, sf_dir, fit_tree, min_samples_split=10, min_samples_leaf=4)
+
+
+@query
+def q_boosted_second_order(spark, sf_dir):
+    """Twenty rounds of second-order boosting."""
+    return _tree_metrics(spark, sf_dir, fit_boosted, n_estimators=20, max_depth=5, learning_rate=0.3)
+
+
+@query
+def q_forest_grown_together(spark, sf_dir):
+    """Ten bootstrap trees without a depth limit, grown level by level together."""
+    return _tree_metrics(
+        spark, sf_dir, fit_forest, n_estimators=10, min_samples_split=10, min_samples_leaf=4)
+
+
 @query
 def q_rff_regression(spark, sf_dir):
     with _comparison(spark, sf_dir) as (_, train, test):

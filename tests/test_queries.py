@@ -10,7 +10,9 @@ import __spark_entry__ as entry_points
 
 QUERIES = entry_points.queries()
 SQL = entry_points.oracle_sql()
-CHEAP_WITHOUT_SQL = ("q_cv_avg", "q_params", "q_dt", "q_runs")
+CHEAP_WITHOUT_SQL = (
+    "q_params", "q_dt", "q_runs", "q_knn_lsh", "q_tree_unlimited", "q_boosted_second_order", "q_forest_grown_together",
+)
 
 
 @pytest.fixture(scope="module")
