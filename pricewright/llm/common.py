@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -20,6 +21,30 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def shielded(*private: str) -> Callable:
+    """For functions that keep all columns of their first frame: the caller's columns
+    that bear a name the function uses inside carry another one meanwhile."""
+    used = {p.lower() for p in private}
+
+    def wrap(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(fn)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            taken, renamed = used | {c.lower() for c in docs.columns}, {}
+            for c in docs.columns:
+                if c.lower() in used:
+                    name = f"kept_{c}"
+                    while name.lower() in taken:
+                        name = f"kept_{name}"
+                    taken.add(name.lower())
+                    renamed[c] = name
+            out = fn(docs.withColumnsRenamed(renamed), *args, **options)
+            return out.withColumnsRenamed({v: k for k, v in renamed.items()})
+
+        return run
+
+    return wrap
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once into the shared folder and read from there: cuts the lineage,
     and every later reader sees the same rows even if an executor is lost."""

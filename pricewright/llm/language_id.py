@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .common import shielded
 from .textbatch import char_grams, chunks
 
 BUCKETS = 4096
@@ -121,6 +122,7 @@ def infer_mixture(counts: np.ndarray, logp: np.ndarray, prior: np.ndarray) -> tu
     return theta, np.where(single, odds[rows, main], theta[rows, main])
 
 
+@shielded("_whole")
 def with_language(docs: DataFrame, train: DataFrame) -> DataFrame:
     """All columns of ``docs`` plus lang_pred, score and languages (a map of proportions).
 

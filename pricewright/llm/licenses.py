@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .common import attach, stored, text_or_empty
+from .common import attach, shielded, stored, text_or_empty
 from .textbatch import WORDLIKE, TextBatch, chunks
 
 LEAST_COSINE = 0.75
@@ -141,6 +141,7 @@ def with_notice(docs: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     return docs.select(*names).mapInPandas(run, schema)
 
 
+@shielded("dir", "files", "near", "given", "given_dir")
 def scan_licences(files: DataFrame) -> DataFrame:
     """All columns of ``files`` (path, text, ...) but text, plus licence,
     own_licence, similarity, line and inherited_from.
@@ -150,7 +151,7 @@ def scan_licences(files: DataFrame) -> DataFrame:
     path). Null paths inherit nothing; null texts have no notice; without
     either licence is null.
     """
-    names = [c for c in files.columns if c not in ("own_licence", "inherited_from", "dir")]
+    names = [c for c in files.columns if c not in ("own_licence", "inherited_from")]
     rows = files.select(*[c for c in names if c != "text"], text_or_empty().alias("text"))
     rows = rows.withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
     rows = stored(with_notice(rows).withColumnRenamed("licence", "own_licence"), "licences")

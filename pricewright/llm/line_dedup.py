@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .common import attach, discard, stored
+from .common import attach, discard, shielded, stored
 from .textbatch import TextBatch, chunks, mix
 
 #: An aligned block of fewer words stays.
@@ -246,6 +246,7 @@ def find_blocks(lines: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame
     return pairs.mapInPandas(run, "doc_id long, h long, partner long, first long, last long")
 
 
+@shielded("_id", "_h", "_copy", "_blocks")
 def remove_shared_blocks(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """All columns of ``docs`` with ``text`` less its blocks shared with an
     earlier document, plus n_lines, n_removed, removed_words and partners.

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, attach, stored, text_or_empty
+from .common import WORD, attach, shielded, stored, text_or_empty
 
 BLOCK_WORDS = 128
 SLOTS_PER_SHARD = 4096
@@ -184,6 +184,7 @@ def mix_counts(docs: DataFrame) -> DataFrame:
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+@shielded("_rid", "_turn", "_pieces", "_words", "first", "times", "cut", "length", "p")
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents, with the columns of ``docs``.
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import attach, components, discard, stored, text_or_empty
+from .common import attach, components, discard, shielded, stored, text_or_empty
 from .textbatch import TextBatch, chunks, mix, window_hashes
 
 SHINGLE = 5
@@ -376,6 +376,7 @@ def _with_root(member: DataFrame, root: DataFrame) -> DataFrame:
     return attach(member, named, ["rep"], "held", member.count()).select("rid", "doc_id", "root")
 
 
+@shielded("_id", "_h", "_nth")
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that come first in their component; of repeated
     rows (one id, one text) one stays. Columns as they are."""

@@ -14,6 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .common import shielded
 from .samples import labelled_sample
 from .textbatch import LEADING, SPACE, TextBatch, char_grams, chunks, per_text, window_hashes
 
@@ -131,7 +132,8 @@ def _vectors(sample: DataFrame) -> DataFrame:
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:
     """Three quarters of the sample fit the regression, the last calibrates it.
 
-    Calibration rows are weighted to the class shares of all labels. Without
+    Calibration rows are weighted to the class shares of all labels; where the
+    first part lacks a class, all rows fit and none calibrate. Without
     rows of both classes the probability is the share of good labels (1 without
     labels).
     """
@@ -144,6 +146,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_
         rows.unpersist()
         return QualityModel(np.zeros(size), 0.0, 0.0, float(np.log((good + 1e-9) / (1 - good + 1e-9))))
     calibrates = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(4)) == 0
+    if rows.where(~calibrates).select("label").distinct().count() < 2:
+        calibrates = F.lit(False)       # too few rows to spare any
     fit = LogisticRegression(maxIter=40, regParam=0.02, elasticNetParam=0.0).fit(rows.where(~calibrates))
     margin = F.udf(lambda v: float(v[1]), "double")
     held = fit.transform(rows.where(calibrates)).select(
@@ -158,6 +162,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_
     return QualityModel(fit.coefficients.toArray(), float(fit.intercept), slope, shift)
 
 
+@shielded("_whole")
 def with_quality(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM) -> DataFrame:
     """All columns of ``docs`` plus the base counts, base_failed, quality and kept.
 

@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .common import shielded
 from .samples import labelled_sample
 from .textbatch import LEADING, WORDLIKE, TextBatch, chunks
 
@@ -137,6 +138,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER
     return np.array(got["weights"]), got["intercept"]
 
 
+@shielded("_whole")
 def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], flag_from: float = FLAG_FROM) -> DataFrame:
     """All columns of ``docs`` plus score, predicted and offending.
 

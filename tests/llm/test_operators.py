@@ -485,3 +485,50 @@ def test_toxicity_edges(edge, empty, edge_labels):
 def test_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert SMALL
+
+
+def _clashing(spark, *names):
+    rows = [(i, f"{PASSAGE} {i}\n{PASSAGE}\nend", "en", "s", f"c{i}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, v string")
+    return docs.select("doc_id", "text", "lang", "source", *[F.col("v").alias(n) for n in names])
+
+
+def test_columns_with_private_names_stay(spark, edge_labels):
+    """Names the operators use inside are the caller's again afterwards."""
+    docs = _clashing(spark, "_whole", "_ID", "_h", "_nth", "_blocks", "_copy", "_words", "_rid", "_turn", "_pieces", "first", "kept__h")
+    kept = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source")]
+    outs = [
+        quality.with_quality(docs, quality.fit_quality(docs, edge_labels)),
+        language_id.with_language(docs, docs), toxicity.with_toxicity(docs, toxicity.fit_toxicity(docs, edge_labels)),
+        line_dedup.remove_shared_blocks(docs), ngram_join.first_of_each(docs), mixing.mixed_documents(docs)]
+    for out in outs:
+        assert [c for c in out.columns if c in kept] == kept
+        rows = out.collect()
+        assert rows and all(r[c] == f"c{r.doc_id}" for r in rows for c in kept)
+
+
+def test_licence_columns_with_private_names_stay(spark):
+    files = _clashing(spark, "dir", "files", "near", "given").withColumn("path", F.concat(F.lit("a/"), "doc_id"))
+    rows = licenses.scan_licences(files).collect()
+    assert len(rows) == 4 and all(r[c] == f"c{r.doc_id}" for r in rows for c in ("dir", "files", "near", "given"))
+
+
+@pytest.mark.parametrize("given", [
+    [(0, 1, 0)], [(0, 1, 0), (1, 0, 0)], [(0, 1, 0), (1, 0, 0), (2, 1, 0)], [(i, i % 2, 0) for i in range(4)],
+    [(i, int(i == 0), 0) for i in range(4)], []])
+def test_quality_of_few_labels(spark, given):
+    """Any number of labels and classes gives a model."""
+    docs = _clashing(spark)
+    labels = spark.createDataFrame(given, "doc_id long, quality int, toxic int")
+    out = quality.quality_rules(docs, labels).collect()
+    assert len(out) == 4 and all(0 <= r.quality <= 1 for r in out)
+
+
+def test_quality_of_held_out_labels(docs, labels):
+    """Learned on even ids, judged on odd ones."""
+    model = quality.fit_quality(docs, labels.where("doc_id % 2 = 0"))
+    judged = quality.with_quality(docs, model).where("NOT base_failed").select("doc_id", "kept").join(
+        labels.where("doc_id % 2 = 1").select("doc_id", F.col("quality").alias("truth")), "doc_id")
+    got = {r.truth: r for r in judged.groupBy("truth").agg(
+        F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert got[1].kept >= 0.95 * got[1].n and got[0].kept <= 0.1 * got[0].n
