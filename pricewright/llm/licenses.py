@@ -1,9 +1,12 @@
 """License scans: TF-IDF cosine to templates, then inheritance along directories.
 
-Every line of every text is compared with short notices of known licences by
-the cosine of sparse TF-IDF vectors; the inverse document frequencies of the
-notices' terms are counted over the whole corpus. Files without a notice take
-the licence of the nearest directory above them that has a licence file.
+Templates are whole short licences, the standard headers of long ones, one-line
+notices and SPDX tags. For each template, every stretch of as many words as it
+has is compared by the cosine of sparse TF-IDF vectors, so a header is found
+over several lines, inside a licence file or in the middle of a line. Document
+frequencies of all words of the corpus are counted in a bounded hash table.
+Files without a notice take the licence of the nearest directory above them
+that has a licence file.
 """
 
 from __future__ import annotations
@@ -18,33 +21,91 @@ from .common import attach, shielded, stored, text_or_empty
 from .textbatch import WORDLIKE, TextBatch, chunks
 
 LEAST_COSINE = 0.75
+#: Tags differ in one word, which has to be the right one.
+LEAST_TAG_COSINE = 0.999
+#: Counters of document frequencies: words that share one count together (8 MB sent to tasks).
+FREQUENCY_BITS = 20
 
-# Short notices of common licences.
+# Short licences, headers and notices of common licences.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
+and associated documentation files (the "Software"), to deal in the Software without restriction,
+including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,
+and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+subject to the following conditions: The above copyright notice and this permission notice shall be
+included in all copies or substantial portions of the Software."""),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "you may not use this file except in compliance with the Apache License"),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
+except in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,
+software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+CONDITIONS OF ANY KIND, either express or implied."""),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the
+GNU General Public License as published by the Free Software Foundation, either version 3 of the License,
+or (at your option) any later version."""),
+    ("GPL-2.0", """This program is free software; you can redistribute it and/or modify it under the terms of the
+GNU General Public License as published by the Free Software Foundation; either version 2 of the License,
+or (at your option) any later version."""),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", """This library is free software: you can redistribute it and/or modify it under the terms of the
+GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the
+License, or (at your option) any later version."""),
+    ("LGPL-2.1", """This library is free software; you can redistribute it and/or modify it under the terms of the
+GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the
+License, or (at your option) any later version."""),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the
+GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the
+License, or (at your option) any later version."""),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met: 1. Redistributions of source code must retain the above
+copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form
+must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE
+COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES"""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met: 1. Redistributions of source code must retain the above
+copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form
+must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright
+holder nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee
+is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("EPL-2.0", """This program and the accompanying materials are made available under the terms of the Eclipse Public
+License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"""),
+    ("EPL-1.0", """All rights reserved. This program and the accompanying materials are made available under the terms
+of the Eclipse Public License v1.0 which accompanies this distribution"""),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (
+        "MIT", "Apache-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+        "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0",
+        "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "EPL-1.0", "EPL-2.0",
+        "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense")),
 )
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
 
 
-def _lines(texts: list[str]) -> tuple[TextBatch, np.ndarray, np.ndarray]:
-    """Words, their hashes and the line number of each (over all texts)."""
+def _words(texts: list[str]) -> tuple[TextBatch, np.ndarray]:
+    """Words of lower-cased letters and digits, and their hashes."""
     batch = TextBatch([t.lower().encode() for t in texts], WORDLIKE)
-    breaks = np.concatenate([[0], np.cumsum(batch.data == 10)])
-    hashes = batch.word_hashes() if len(batch.begin) else np.zeros(0, dtype=np.uint64)
-    return batch, hashes, breaks[batch.begin]
+    return batch, batch.word_hashes() if len(batch.begin) else np.zeros(0, dtype=np.uint64)
+
+
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
 
 
 class Notices:
@@ -52,10 +113,12 @@ class Notices:
 
     def __init__(self, templates=TEMPLATES):
         self.names = [n for n, _ in templates]
-        _, hashes, line = _lines([t for _, t in templates])
+        self.least = np.array([LEAST_TAG_COSINE if t.startswith("SPDX") else LEAST_COSINE for _, t in templates])
+        batch, hashes = _words([t for _, t in templates])
+        self.sizes = np.diff(batch.first)
         self.terms, column = np.unique(hashes, return_inverse=True)
         self.counts = np.zeros((len(templates), len(self.terms)))
-        np.add.at(self.counts, (line, column), 1.0)
+        np.add.at(self.counts, (batch.doc, column), 1.0)
 
     def columns(self, hashes: np.ndarray) -> np.ndarray:
         """Index of each hash among the terms, -1 for other words."""
@@ -63,77 +126,87 @@ class Notices:
         return np.where(self.terms[at] == hashes, at, -1)
 
 
-def document_frequencies(docs: DataFrame, notices: Notices) -> tuple[int, np.ndarray]:
-    """(documents, how many hold each term of the templates), over all rows of ``text``."""
-    plain = vars(notices)
+def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """(documents, how many hold a word of each counter), over all rows of ``text``."""
 
-    def count(batches: Iterator[pd.DataFrame]):
-        known = Notices.__new__(Notices)
-        vars(known).update(plain)
-        total, n = np.zeros(len(known.terms), dtype=np.int64), 0
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64), 0
         for part in chunks(batches):
-            batch, hashes, _ = _lines(part["text"].tolist())
-            at = known.columns(hashes)
-            pairs = np.unique(at[at >= 0] * len(part) + batch.doc[at >= 0])
+            batch, hashes = _words(part["text"].tolist())
+            pairs = np.unique(_counter(hashes) * len(part) + batch.doc)
             total += np.bincount(pairs // len(part), minlength=len(total))
             n += len(part)
-        yield pd.DataFrame({"term": np.r_[np.arange(len(total)), -1], "n": np.r_[total, n]})
+        full = np.flatnonzero(total)
+        yield pd.DataFrame({"counter": np.r_[full, -1], "n": np.r_[total[full], n]})
 
-    got = docs.select("text").mapInPandas(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {r["term"]: r["n"] for r in got}
-    return found.get(-1, 0), np.array([found.get(i, 0) for i in range(len(notices.terms))])
+    # at most one row per counter, however many words there are
+    got = docs.select("text").mapInPandas(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros((1 << FREQUENCY_BITS) + 1, dtype=np.int64)
+    out[got["counter"].to_numpy()] = got["n"].to_numpy()        # -1 is the last place
+    return int(out[-1]), out[:-1]
 
 
-def with_notice(docs: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """Columns of ``docs`` but text, plus licence, similarity and line of the best notice.
+def best_notices(texts: list[str], known: Notices, idf: np.ndarray) -> list[tuple]:
+    """(licence, cosine, line) of the best stretch of each text; nulls where none is close enough.
 
-    Null where no line reaches the cosine. Of equal cosines the first line and
-    the first template win.
+    ``idf``: weight of each counter. Of equal cosines the longest template, then the first
+    template, then the first place wins.
     """
-    notices = Notices()
-    n, found = document_frequencies(docs, notices)
-    idf = np.log((n + 1) / (found + 1)) + 1
-    rare = float(np.log(n + 1) + 1)
-    vectors = notices.counts * idf
+    best: list[tuple] = [(None, None, None)] * len(texts)
+    batch, hashes = _words(texts)
+    if not len(hashes):
+        return best
+    weight = idf[_counter(hashes)]
+    term_weight = idf[_counter(known.terms)]
+    vectors = known.counts * term_weight
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-    plain = vars(notices)
+    at = known.columns(hashes)
+    inside = np.flatnonzero(at >= 0)
+    if not len(inside):
+        return best
+    square = np.concatenate([[0.0], np.cumsum(weight * weight)])
+    stop = batch.first[batch.doc + 1]
+    breaks = np.concatenate([[0], np.cumsum(batch.data == 10)])
+    for t in np.argsort(-known.sizes, kind="stable").tolist():
+        size = int(known.sizes[t])
+        share = np.zeros(len(hashes) + 1)
+        share[inside + 1] = vectors[t, at[inside]] * weight[inside]
+        np.cumsum(share, out=share)
+        begin = inside[vectors[t, at[inside]] > 0]      # a best stretch begins with a word of the template
+        end = np.minimum(begin + size, stop[begin])
+        # repeated words make a norm longer than this one, so no stretch is left out
+        bound = (share[end] - share[begin]) / np.sqrt(square[end] - square[begin])
+        likely = np.flatnonzero(bound >= known.least[t] * 0.9999)
+        for i, j, dot in zip(begin[likely].tolist(), end[likely].tolist(), (share[end] - share[begin])[likely].tolist()):
+            _, first, times = np.unique(hashes[i:j], return_index=True, return_counts=True)
+            cosine = dot / float(np.sqrt(((times * weight[i:j][first]) ** 2).sum()))
+            d = int(batch.doc[i])
+            if cosine >= known.least[t] and (best[d][1] is None or cosine > best[d][1] + 1e-12):
+                line = int(breaks[batch.begin[i]] - breaks[batch.starts[d]])
+                best[d] = (known.names[t], min(1.0, cosine), line)
+    return best
+
+
+def with_notice(docs: DataFrame) -> DataFrame:
+    """Columns of ``docs`` but text, plus licence, similarity and line (of its first word) of the best notice.
+
+    Null where no stretch reaches the cosine.
+    """
+    n, found = document_frequencies(docs)
+    idf = np.log((n + 1) / (found + 1)) + 1
+    sent = docs.sparkSession.sparkContext.broadcast((vars(Notices()), idf))
     names = [c for c in docs.columns if c not in ("licence", "similarity", "line")]
     kept = [c for c in names if c != "text"]
     schema = T.StructType(docs.select(*kept).schema.fields + T.StructType.fromDDL(
         "licence string, similarity double, line long").fields)
 
-    def run(batches: Iterator[pd.DataFrame]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plain, idf = sent.value
         known = Notices.__new__(Notices)
         vars(known).update(plain)
         for part in chunks(batches):
-            batch, hashes, line = _lines(part["text"].tolist())
-            at = known.columns(hashes)
-            best: list[tuple] = [(None, None, None)] * len(part)
-            if len(line):
-                # squared norms by word are a lower bound of those by term: only likely lines are done in full
-                weight = np.where(at >= 0, idf[at], rare)
-                places, where = np.unique(line, return_inverse=True)
-                norm = np.sqrt(np.bincount(where, weights=weight**2))
-                in_terms = at >= 0
-                table = np.zeros((len(places), len(vectors)))
-                for t in range(len(vectors)):
-                    table[:, t] = np.bincount(
-                        where[in_terms], weights=vectors[t, at[in_terms]] * idf[at[in_terms]], minlength=len(places))
-                likely = np.flatnonzero(table.max(axis=1) >= least * norm * 0.999)
-                if len(likely):
-                    firsts = np.searchsorted(line, places[likely])
-                    lasts = np.searchsorted(line, places[likely], side="right")
-                    first_line = np.concatenate([[0], np.cumsum(batch.data == 10)])[batch.starts]
-                    for k, i, j in zip(likely.tolist(), firsts.tolist(), lasts.tolist()):
-                        _, first, times = np.unique(hashes[i:j], return_index=True, return_counts=True)
-                        exact = np.sqrt(((times * weight[i:j][first]) ** 2).sum())
-                        cosine = table[k] / exact
-                        t = int(np.argmax(cosine))
-                        d = int(batch.doc[i])
-                        if cosine[t] >= least and (best[d][1] is None or cosine[t] > best[d][1]):
-                            best[d] = (known.names[t], float(cosine[t]), int(places[k] - first_line[d]))
             out = part[kept].copy()
-            out["licence"], out["similarity"], out["line"] = zip(*best)
+            out["licence"], out["similarity"], out["line"] = zip(*best_notices(part["text"].tolist(), known, idf))
             out["line"] = out["line"].astype("Int64")
             out["similarity"] = out["similarity"].astype("float64")
             yield out
@@ -175,9 +248,12 @@ def scan_licences(files: DataFrame) -> DataFrame:
 
 def document_paths(docs: DataFrame) -> DataFrame:
     """doc_id, path, text: the table has no paths, so sources are taken as
-    repositories, with directories of 500 and 25 documents, the first of each
-    25 as its licence file."""
+    repositories with directories of 5,000, 500 and 25 documents. The first
+    document of each is a licence file, of the largest directory it begins."""
     i = F.col("doc_id").cast("long")
-    name = F.when(i % 25 == 0, F.lit("LICENSE")).otherwise(F.concat(i.cast("string"), F.lit(".txt")))
-    path = F.concat_ws("/", F.coalesce(F.col("source").cast("string"), F.lit("")), F.floor(i / 500).cast("string"), F.floor(i / 25).cast("string"), name)
+    top = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    levels = [F.floor(i / size).cast("string") for size in (5000, 500, 25)]
+    path = F.concat_ws("/", top, *levels, F.concat(i.cast("string"), F.lit(".txt")))
+    for size, depth in ((25, 3), (500, 2), (5000, 1)):
+        path = F.when(i % size == 0, F.concat_ws("/", top, *levels[:depth], F.lit("LICENSE"))).otherwise(path)
     return docs.select(i.alias("doc_id"), F.when(i.isNotNull(), path).alias("path"), "text")

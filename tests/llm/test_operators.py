@@ -1,11 +1,16 @@
 """The ten corpus operators against brute force, the library, and held-out labels."""
 
+import functools
 import hashlib
+import math
 import random
-import time
+import re
 import sys
+import time
+from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -449,6 +454,80 @@ def test_licence_inheritance(spark):
     assert got[6][1] == "CC-BY-NC-4.0" and got[9][1] == "CC-BY-NC-4.0"
 
 
+STANDARD = [
+    ("GPL-3.0", """/*
+ * Copyright (C) 2020 Foo Bar
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */"""),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License as published by the Free Software Foundation; either version 2 of the License, or any later version."),
+    ("MIT", "Copyright 2020 Foo Bar. Released under the MIT License."),
+    ("ISC", "# SPDX-License-Identifier: ISC\nimport x"),
+    ("GPL-2.0-only", "// SPDX-License-Identifier: GPL-2.0-only"),
+    ("EPL-2.0", "Contributors: Foo\nThis program and the accompanying materials are made available under the terms of the\n"
+     "Eclipse Public License 2.0 which is available at\nhttps://www.eclipse.org/legal/epl-2.0/"),
+    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted,"
+     " provided that the above copyright notice and this permission notice appear in all copies."),
+    (None, "// SPDX-License-Identifier: Zlib"), (None, "The licence of a driver is a card."),
+]
+
+
+def _cosines(text, frequencies, n):
+    """Best cosine per template by the definition, over all stretches of its length."""
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    idf = functools.cache(lambda w: math.log((n + 1) / (frequencies(w) + 1)) + 1)
+    out = []
+    for name, template in licenses.TEMPLATES:
+        theirs, mine = Counter(words(template)), words(text)
+        size, best = sum(theirs.values()), 0.0
+        for i in range(len(mine)):
+            own = Counter(mine[i : i + size])
+            dot = sum(c * theirs[w] * idf(w) ** 2 for w, c in own.items() if w in theirs)
+            norm = math.sqrt(sum((c * idf(w)) ** 2 for w, c in own.items()) * sum((c * idf(w)) ** 2 for w, c in theirs.items()))
+            best = max(best, dot / norm)
+        out.append((name, best, licenses.LEAST_TAG_COSINE if template.startswith("SPDX") else licenses.LEAST_COSINE))
+    return out
+
+
+def test_standard_notices_at_any_corpus_size(docs, texts):
+    """Headers, tags and whole permissions that the tables lack; ten times the corpus changes nothing."""
+    some = [t for t in texts.values() if "icense" not in t]
+    for times in (1, 10):
+        known = licenses.Notices()
+        n, found = licenses.document_frequencies(docs)
+        idf = np.log((n * times + 1) / (found * times + 1)) + 1
+        got = licenses.best_notices([t for _, t in STANDARD], known, idf)
+        assert [g[0] for g in got] == [name for name, _ in STANDARD]
+        assert got[0][2] == 2 and got[3][2] == 0
+    assert all(g[0] is None for g in licenses.best_notices(some, known, idf))
+
+
+def test_notices_equal_brute_force_cosines(docs, texts):
+    n, found = licenses.document_frequencies(docs)
+    idf = np.log((n + 1) / (found + 1)) + 1
+    known = licenses.Notices()
+    frequency = lambda w: int(found[licenses._counter(licenses._words([w])[1])[0]])
+    sample = [t for _, t in STANDARD] + [t for t in texts.values() if "icense" in t and len(t) < 1500][:12]
+    for text, (name, cosine, _) in zip(sample, licenses.best_notices(sample, known, idf)):
+        close = [(c, m) for m, c, least in _cosines(text, frequency, n) if c >= least]
+        assert (name is None) == (not close)
+        if close:
+            assert abs(cosine - max(close)[0]) < 1e-9 and name in [m for c, m in close if c > max(close)[0] - 1e-9]
+
+
+def test_licence_files_of_upper_directories(spark):
+    """A file without a notice takes the nearest of three levels of directories."""
+    given = {0: "MIT License, released under the MIT License.", 500: "Licensed under CC BY 4.0.",
+             525: "SPDX-License-Identifier: ISC"}
+    rows = spark.createDataFrame([(i, given.get(i, "plain words"), "s") for i in range(0, 560, 5)], "doc_id long, text string, source string")
+    got = {r.doc_id: (r.licence, r.inherited_from) for r in licenses.scan_licences(licenses.document_paths(rows)).collect()}
+    assert got[5] == ("MIT", "s/0") and got[495] == ("MIT", "s/0")
+    assert got[505] == ("CC-BY-4.0", "s/0/1") and got[530] == ("ISC", "s/0/1/21") and got[555] == ("CC-BY-4.0", "s/0/1")
+
+
 def test_licence_edges(edge, empty):
     assert licenses.scan_licences(licenses.document_paths(edge)).count() == len(EDGE)
     assert licenses.scan_licences(licenses.document_paths(empty)).count() == 0
