@@ -4,7 +4,8 @@ Templates are whole short licences, the standard headers of long ones, one-line
 notices and SPDX tags. For each template, every stretch of as many words as it
 has is compared by the cosine of sparse TF-IDF vectors, so a header is found
 over several lines, inside a licence file or in the middle of a line. Document
-frequencies of all words of the corpus are counted in a bounded hash table.
+frequencies of all words of the corpus are counted: those of template words one
+by one, all others in a bounded hash table, whose counts are never too low.
 Files without a notice take the licence of the nearest directory above them
 that has a licence file.
 """
@@ -23,8 +24,8 @@ from .textbatch import WORDLIKE, TextBatch, chunks
 LEAST_COSINE = 0.75
 #: Tags differ in one word, which has to be the right one.
 LEAST_TAG_COSINE = 0.999
-#: Counters of document frequencies: words that share one count together (8 MB sent to tasks).
-FREQUENCY_BITS = 20
+#: Counters of the document frequencies of other words; words of one counter are counted together.
+FREQUENCY_BITS = 16
 
 # Short licences, headers and notices of common licences.
 TEMPLATES = (
@@ -104,10 +105,6 @@ def _words(texts: list[str]) -> tuple[TextBatch, np.ndarray]:
     return batch, batch.word_hashes() if len(batch.begin) else np.zeros(0, dtype=np.uint64)
 
 
-def _counter(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
-
-
 class Notices:
     """Template vectors over the sorted hashes of their terms."""
 
@@ -125,24 +122,34 @@ class Notices:
         at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
         return np.where(self.terms[at] == hashes, at, -1)
 
+    def counters(self, hashes: np.ndarray) -> np.ndarray:
+        """The counter of each word: one of its own for a term, a shared one otherwise."""
+        at = self.columns(hashes)
+        shared = (hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
+        return np.where(at >= 0, (1 << FREQUENCY_BITS) + at, shared)
+
 
-def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+def document_frequencies(docs: DataFrame, notices: Notices) -> tuple[int, np.ndarray]:
     """(documents, how many hold a word of each counter), over all rows of ``text``."""
+    plain, size = vars(notices), (1 << FREQUENCY_BITS) + len(notices.terms)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64), 0
+        known = Notices.__new__(Notices)
+        vars(known).update(plain)
+        total, n = np.zeros(size, dtype=np.int64), 0
         for part in chunks(batches):
             batch, hashes = _words(part["text"].tolist())
-            pairs = np.unique(_counter(hashes) * len(part) + batch.doc)
-            total += np.bincount(pairs // len(part), minlength=len(total))
+            pairs = np.unique(known.counters(hashes) * len(part) + batch.doc)
+            total += np.bincount(pairs // len(part), minlength=size)
             n += len(part)
         full = np.flatnonzero(total)
         yield pd.DataFrame({"counter": np.r_[full, -1], "n": np.r_[total[full], n]})
 
-    # at most one row per counter, however many words there are
-    got = docs.select("text").mapInPandas(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros((1 << FREQUENCY_BITS) + 1, dtype=np.int64)
-    out[got["counter"].to_numpy()] = got["n"].to_numpy()        # -1 is the last place
+    # one row per counter, however many words there are
+    counts = docs.select("text").mapInPandas(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    out = np.zeros(size + 1, dtype=np.int64)
+    for counter, n in counts.toLocalIterator():
+        out[counter] = n        # -1 is the last place
     return int(out[-1]), out[:-1]
 
 
@@ -156,19 +163,25 @@ def best_notices(texts: list[str], known: Notices, idf: np.ndarray) -> list[tupl
     batch, hashes = _words(texts)
     if not len(hashes):
         return best
-    weight = idf[_counter(hashes)]
-    term_weight = idf[_counter(known.terms)]
+    weight = idf[known.counters(hashes)]
+    term_weight = idf[known.counters(known.terms)]
     vectors = known.counts * term_weight
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
     at = known.columns(hashes)
     inside = np.flatnonzero(at >= 0)
     if not len(inside):
         return best
+    present = np.zeros(len(known.terms), dtype=bool)
+    present[at[inside]] = True
     square = np.concatenate([[0.0], np.cumsum(weight * weight)])
     stop = batch.first[batch.doc + 1]
     breaks = np.concatenate([[0], np.cumsum(batch.data == 10)])
     for t in np.argsort(-known.sizes, kind="stable").tolist():
         size = int(known.sizes[t])
+        # a stretch without such a word of the template is too far from it
+        needed = vectors[t] > np.sqrt(1 - known.least[t] ** 2) + 1e-9
+        if not present[needed].all():
+            continue
         share = np.zeros(len(hashes) + 1)
         share[inside + 1] = vectors[t, at[inside]] * weight[inside]
         np.cumsum(share, out=share)
@@ -192,9 +205,10 @@ def with_notice(docs: DataFrame) -> DataFrame:
 
     Null where no stretch reaches the cosine.
     """
-    n, found = document_frequencies(docs)
+    notices = Notices()
+    n, found = document_frequencies(docs, notices)
     idf = np.log((n + 1) / (found + 1)) + 1
-    sent = docs.sparkSession.sparkContext.broadcast((vars(Notices()), idf))
+    sent = docs.sparkSession.sparkContext.broadcast((vars(notices), idf))
     names = [c for c in docs.columns if c not in ("licence", "similarity", "line")]
     kept = [c for c in names if c != "text"]
     schema = T.StructType(docs.select(*kept).schema.fields + T.StructType.fromDDL(

@@ -497,7 +497,7 @@ def test_standard_notices_at_any_corpus_size(docs, texts):
     some = [t for t in texts.values() if "icense" not in t]
     for times in (1, 10):
         known = licenses.Notices()
-        n, found = licenses.document_frequencies(docs)
+        n, found = licenses.document_frequencies(docs, known)
         idf = np.log((n * times + 1) / (found * times + 1)) + 1
         got = licenses.best_notices([t for _, t in STANDARD], known, idf)
         assert [g[0] for g in got] == [name for name, _ in STANDARD]
@@ -506,10 +506,13 @@ def test_standard_notices_at_any_corpus_size(docs, texts):
 
 
 def test_notices_equal_brute_force_cosines(docs, texts):
-    n, found = licenses.document_frequencies(docs)
-    idf = np.log((n + 1) / (found + 1)) + 1
     known = licenses.Notices()
-    frequency = lambda w: int(found[licenses._counter(licenses._words([w])[1])[0]])
+    n, found = licenses.document_frequencies(docs, known)
+    idf = np.log((n + 1) / (found + 1)) + 1
+    frequency = lambda w: int(found[known.counters(licenses._words([w])[1])[0]])
+    for word in ("license", "the", "redistribute"):
+        holds = sum(word in re.findall(r"[^\W_]+", t.lower()) for t in texts.values())
+        assert frequency(word) == holds
     sample = [t for _, t in STANDARD] + [t for t in texts.values() if "icense" in t and len(t) < 1500][:12]
     for text, (name, cosine, _) in zip(sample, licenses.best_notices(sample, known, idf)):
         close = [(c, m) for m, c, least in _cosines(text, frequency, n) if c >= least]
