@@ -1,4 +1,5 @@
 import sys
+import threading
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,7 @@ from pricewright.sources import market  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
+TEST_SECONDS = 600
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +24,19 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def time_limit(request):
+    """A test that hangs loses its Spark jobs and fails, and the next one goes on."""
+    if "spark" not in request.fixturenames:
+        yield
+        return
+    session = request.getfixturevalue("spark")
+    timer = threading.Timer(TEST_SECONDS, session.sparkContext.cancelAllJobs)
+    timer.start()
+    yield
+    timer.cancel()
+
+
 @pytest.fixture(scope="session")
 def small_market(spark):
     rows = market(spark, SMALL).persist()
