@@ -1,18 +1,19 @@
 """Line deduplication by pairwise alignment.
 
-Each line is linked to the first document that holds it, so the number of
-links is at most the number of lines however often one repeats. A pair of
-linked documents is aligned with patience diff: lines made
-unique by their occurrence number, their longest increasing chain, and equal
-gaps between links. Aligned blocks of enough words go from the later document.
-Stretches whose lines were first seen in different documents, or that lie
-outside the chain, are found by runs: the shortest stretches of enough words
-from each line and up to each line, linked to the first document of the run.
+A line is rare enough to link documents if it has ``MIN_BLOCK_WORDS`` words;
+shorter lines link by the shortest stretch of lines that reaches them. Each
+such stretch is linked to the first document that holds it, so links are at
+most two a line however often one repeats. A pair of linked documents is
+aligned with patience diff over the shared stretches: their longest chain that
+rises in both documents, then chains of what lies outside it (moved or
+repeated passages) until every link is in one. Neighbouring links of a chain
+at equal distance in both documents are one block; the aligned blocks, and
+nothing else, go from the later document.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,6 @@ _BASE = np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LINE = np.ones(256, dtype=bool)
 _LINE[10] = False
-_FIELDS = ("pos", "run", "words", "own", "n_lines", "all_run", "n_words")
 
 
 def _powers(base: np.uint64, n: np.ndarray) -> np.ndarray:
@@ -43,48 +43,6 @@ def _powers(base: np.uint64, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """One row per line that is not empty: document key, hash and occurrence
-    number of the line, and running sums up to it.
-
-    ``run`` sums line hashes times powers of the place, so equal stretches of
-    two documents have equal differences.
-    """
-    def run(batches: Iterator[pd.DataFrame]):
-        for part in chunks(batches):
-            texts = [t.encode() for t in part["text"]]
-            lines = TextBatch(texts, _LINE)
-            if not len(lines.begin):
-                continue
-            hashes = lines.word_hashes()
-            words = TextBatch(texts)
-            n_words = np.searchsorted(words.begin, lines.end) - np.searchsorted(words.begin, lines.begin)
-            first = lines.first[lines.doc]
-            pos = np.arange(len(hashes)) - first
-            term = mix(hashes) * _powers(_BASE, pos)
-            with np.errstate(over="ignore"):
-                total = np.concatenate([[np.uint64(0)], np.cumsum(term, dtype=np.uint64)])
-                run_sum = total[1:] - total[first]
-            word_sum = np.concatenate([[0], np.cumsum(n_words)])
-            last = lines.first[lines.doc + 1] - 1
-            order = np.lexsort((pos, hashes, lines.doc))
-            fresh = np.ones(len(order), dtype=bool)
-            fresh[1:] = (hashes[order][1:] != hashes[order][:-1]) | (lines.doc[order][1:] != lines.doc[order][:-1])
-            at = np.arange(len(order))
-            nth = np.empty(len(order), dtype=np.int64)
-            nth[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
-            yield pd.DataFrame({
-                "doc_id": part["doc_id"].to_numpy()[lines.doc], "h": part["h"].to_numpy()[lines.doc],
-                "line": hashes.view(np.int64), "nth": nth, "pos": pos, "run": run_sum.view(np.int64),
-                "words": word_sum[1:] - word_sum[first], "own": n_words, "n_lines": last - first + 1,
-                "all_run": run_sum[last].view(np.int64), "n_words": word_sum[last + 1] - word_sum[first]})
-
-    return docs.select("doc_id", "h", "text").mapInPandas(
-        run, "doc_id long, h long, line long, nth long, pos long, run long, words long, own long, "
-        "n_lines long, "
-        "all_run long, n_words long")
-
-
 def run_table(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """(doc_id, h, run, first, last): the shortest stretch of ``min_words`` words
     that begins at each line that is not empty, and the one that ends there.
@@ -124,17 +82,24 @@ def run_table(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
         run, "doc_id long, h long, run long, first long, last long")
 
 
-def run_blocks(runs: DataFrame) -> DataFrame:
-    """(doc_id, h, partner, first, last): runs an earlier document holds; ``runs`` is a stored ``run_table``."""
+def links(runs: DataFrame) -> DataFrame:
+    """(doc_id, h, partner, h_a, first, last, at): the stretches a document shares
+    with the first document that holds them, which has them from line ``at`` on.
+
+    ``runs`` is a stored ``run_table``; a document is earlier if its (doc_id, h)
+    is smaller. Repeated rows of a document give their links once.
+    """
     firsts = runs.groupBy("run").agg(
-        F.min(F.struct("doc_id", "h")).alias("a"), F.count("*").alias("holders")).where("holders > 1")
+        F.min(F.struct("doc_id", "h", "first")).alias("a"), F.count("*").alias("holders")).where("holders > 1")
     firsts = stored(firsts, "first-runs")
-    return attach(runs, firsts, ["run"], "holders", runs.count()).where(
-        (F.col("a.doc_id") != F.col("doc_id")) | (F.col("a.h") != F.col("h"))).select(
-        "doc_id", "h", F.col("a.doc_id").alias("partner"), "first", "last")
+    found = attach(runs, firsts, ["run"], "holders", runs.count()).where(
+        (F.col("a.doc_id") != F.col("doc_id")) | (F.col("a.h") != F.col("h")))
+    return found.select(
+        "doc_id", "h", F.col("a.doc_id").alias("partner"), F.col("a.h").alias("h_a"), "first", "last",
+        F.col("a.first").alias("at")).distinct()
 
 
-def _chain(places: np.ndarray) -> np.ndarray:
+def _longest_chain(places: np.ndarray) -> np.ndarray:
     """Indices of a longest strictly increasing subsequence."""
     if len(places) < 2 or (np.diff(places) > 0).all():
         return np.arange(len(places))
@@ -154,96 +119,94 @@ def _chain(places: np.ndarray) -> np.ndarray:
     return np.array(out[::-1])
 
 
-def aligned_blocks(pair: dict[str, np.ndarray], min_words: int) -> list[tuple[int, int]]:
-    """(first, last) line of each common block, in the later document (``_b``).
+def _rising_chains(places: np.ndarray) -> list[np.ndarray]:
+    """All indices, dealt to as few strictly increasing subsequences as possible:
+    each goes to the chain with the greatest end below it."""
+    ends, chains = [], []       # -end, rising
+    for i, p in enumerate(places.tolist()):
+        k = bisect_right(ends, -p)
+        if k == len(ends):
+            ends.append(-p)
+            chains.append([i])
+        else:
+            ends[k] = -p
+            chains[k].append(i)
+    return [np.array(c) for c in chains]
+
+
+def aligned_blocks(first: np.ndarray, last: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+    """(first, last) line in the later document of each block aligned with the earlier one.
 
-    ``pair`` has one entry per common line in order of the later document:
-    ``_FIELDS`` of the earlier (``_a``) and of the later document, and the line.
+    Links of one pair: lines ``first`` to ``last`` of the later document are
+    those from ``at`` on of the earlier.
     """
-    keep = _chain(pair["pos_a"])
-    a, b = pair["pos_a"][keep], pair["pos_b"][keep]
-    runs = {}
-    for side, pos in (("_a", a), ("_b", b)):
-        upto = pair["run" + side][keep].view(np.uint64)
-        own = mix(pair["line"][keep].view(np.uint64)) * _powers(_BASE, pos)
-        runs[side] = (upto, upto - own)
-
-    def between(side, pos):     # hash of the lines between two links, as if counted from 0
-        upto, without = runs[side]
-        return (without[1:] - upto[:-1]) * _powers(_INVERSE, pos[:-1])
-
-    joined = (np.diff(a) == np.diff(b)) & (between("_a", a) == between("_b", b))
-    starts = np.concatenate([[0], np.flatnonzero(~joined) + 1])
-    ends = np.concatenate([starts[1:] - 1, [len(a) - 1]])
-    words = pair["words_b"][keep]
+    order = np.lexsort((-last, -at, first))     # falling places at one line: a chain takes one of them
+    first, last, at = first[order], last[order], at[order]
+    once = np.ones(len(first), dtype=bool)
+    once[1:] = (first[1:] != first[:-1]) | (at[1:] != at[:-1])
+    first, last, at = first[once], last[once], at[once]
+    longest = _longest_chain(at)
+    chains = [longest]
+    if len(longest) < len(at):
+        outside = np.setdiff1d(np.arange(len(at)), longest, assume_unique=True)
+        chains += [outside[c] for c in _rising_chains(at[outside])]
     out = []
-    for s, e in zip(starts.tolist(), ends.tolist()):
-        first, last = int(b[s]), int(b[e])
-        # the same beginning or end of both documents belongs to the block
-        if s == 0 and a[0] == b[0] and runs["_a"][1][0] == runs["_b"][1][0]:
-            first = 0
-        n_a, n_b = int(pair["n_lines_a"][0]), int(pair["n_lines_b"][0])
-        if e == len(a) - 1 and n_a - a[e] == n_b - b[e]:
-            rest_a = (pair["all_run_a"][:1].view(np.uint64) - runs["_a"][0][e]) * _powers(_INVERSE, a[e : e + 1])
-            rest_b = (pair["all_run_b"][:1].view(np.uint64) - runs["_b"][0][e]) * _powers(_INVERSE, b[e : e + 1])
-            if rest_a[0] == rest_b[0]:
-                last = n_b - 1
-        before = int(words[s] - pair["own_b"][keep][s]) if first else 0
-        upto = int(pair["n_words_b"][0]) if last == n_b - 1 else int(words[e])
-        if upto - before >= min_words:
-            out.append((first, last))
+    for chain in chains:
+        b, e = first[chain], last[chain]
+        reach = np.maximum.accumulate(e)
+        apart = (np.diff(b) != np.diff(at[chain])) | (b[1:] > reach[:-1] + 1)
+        starts = np.concatenate([[0], np.flatnonzero(apart) + 1])
+        ends = np.maximum.reduceat(e, starts)
+        out += zip(b[starts].tolist(), ends.tolist())
     return out
 
 
-def find_blocks(lines: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> DataFrame:
-    """(doc_id, h, partner, first, last): common blocks with an earlier document.
+def find_blocks(runs: DataFrame) -> DataFrame:
+    """(doc_id, h, blocks, partners): per document with something to delete, the
+    lines of its aligned blocks (first, last, first, last, ...; no overlaps) and
+    the earlier documents they are aligned with.
 
-    ``lines`` is a stored ``line_table``; a document is earlier if its
-    (doc_id, h) is smaller.
+    ``runs`` is a stored ``run_table``.
     """
-    total = lines.count()
-    place = F.struct("doc_id", "h", *_FIELDS)
-    firsts = lines.groupBy("line", "nth").agg(
-        F.min(place).alias("a"), F.count("*").alias("holders")).where("holders > 1")
-    firsts = stored(firsts, "first-lines")
-    pairs = attach(lines, firsts, ["line", "nth"], "holders", total).where(
-        (F.col("a.doc_id") != F.col("doc_id")) | (F.col("a.h") != F.col("h")))
-    pairs = pairs.select(
-        "doc_id", "h", F.col("a.doc_id").alias("doc_a"), F.col("a.h").alias("h_a"), "line",
-        *[F.col(f"a.{f}").alias(f"{f}_a") for f in _FIELDS], *[F.col(f).alias(f"{f}_b") for f in _FIELDS])
-    pairs = pairs.repartition("doc_id", "h").sortWithinPartitions("doc_id", "h", "doc_a", "h_a", "pos_b")
-
-    def blocks(part: pd.DataFrame) -> list[tuple]:
-        cols = {c: part[c].to_numpy() for c in part.columns}
-        new = np.ones(len(part), dtype=bool)
-        new[1:] = np.logical_or.reduce([cols[k][1:] != cols[k][:-1] for k in ("doc_id", "h", "doc_a", "h_a")])
-        cut = [*np.flatnonzero(new).tolist(), len(part)]
-        out = []
-        for i, j in zip(cut, cut[1:]):
-            pair = {c: v[i:j] for c, v in cols.items()}
-            pos = pair["pos_b"]
-            if j - i > 1:       # a repeated row of the table gives its lines twice
-                once = np.concatenate([[True], pos[1:] != pos[:-1]])
-                pair = {c: v[once] for c, v in pair.items()}
-            if pair["n_words_b"][0] >= min_words:
-                out += [(pair["doc_id"][0], pair["h"][0], pair["doc_a"][0], f, l) for f, l in aligned_blocks(pair, min_words)]
-        return out
+    key = ["doc_id", "h"]
+    # a stated number of partitions: few bytes here are much work
+    parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = links(runs).repartition(parts, *key).sortWithinPartitions(*key, "partner", "h_a")
+
+    def cuts(cols: list[np.ndarray]) -> list[int]:
+        new = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+        return [0, *(np.flatnonzero(new) + 1).tolist(), len(cols[0])]
+
+    def blocks(part: pd.DataFrame) -> pd.DataFrame:
+        c = {name: part[name].to_numpy() for name in part.columns}
+        pairs = cuts([c["doc_id"], c["h"], c["partner"], c["h_a"]])
+        spans: dict[tuple, list] = {}
+        partners: dict[tuple, list] = {}
+        for i, j in zip(pairs, pairs[1:]):
+            doc = (int(c["doc_id"][i]), int(c["h"][i]))
+            spans.setdefault(doc, []).extend(aligned_blocks(c["first"][i:j], c["last"][i:j], c["at"][i:j]))
+            partners.setdefault(doc, []).append(int(c["partner"][i]))
+        rows = [(*doc, [x for span in _union(sorted(found)) for x in span], sorted(set(partners[doc])))
+                for doc, found in spans.items()]
+        return pd.DataFrame(rows, columns=["doc_id", "h", "blocks", "partners"])
 
     def run(batches: Iterator[pd.DataFrame]):
-        rest = None
+        held: list[pd.DataFrame] = []       # rows of a document that may go on in the next batch
         for batch in batches:
-            if rest is not None:
-                batch = pd.concat([rest, batch], ignore_index=True)
-            key = batch[["doc_id", "h", "doc_a", "h_a"]].to_numpy()
-            last = np.flatnonzero((key[1:] != key[:-1]).any(axis=1))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            rest = batch.iloc[cut:]
-            if cut:
-                yield pd.DataFrame(blocks(batch.iloc[:cut]), columns=["doc_id", "h", "partner", "first", "last"])
-        if rest is not None and len(rest):
-            yield pd.DataFrame(blocks(rest), columns=["doc_id", "h", "partner", "first", "last"])
+            if not len(batch):
+                continue
+            last = cuts([batch["doc_id"].to_numpy(), batch["h"].to_numpy()])[-2]
+            begins = not held or tuple(held[-1][key].iloc[-1]) != tuple(batch[key].iloc[0])
+            if last or begins:
+                done = held + ([batch.iloc[:last]] if last else [])
+                if done:
+                    yield blocks(pd.concat(done, ignore_index=True))
+                held = []
+            held.append(batch.iloc[last:])
+        if held:
+            yield blocks(pd.concat(held, ignore_index=True))
 
-    return pairs.mapInPandas(run, "doc_id long, h long, partner long, first long, last long")
+    return pairs.mapInPandas(run, "doc_id long, h long, blocks array<long>, partners array<long>")
 
 
 @shielded("_id", "_h", "_copy", "_blocks")
@@ -263,12 +226,9 @@ def remove_shared_blocks(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> D
     keyed = docs.select(*names).withColumns({"_id": key, "_h": F.xxhash64(text)})
     filled = keyed.where(F.length(text) > 0).select(
         F.col("_id").alias("doc_id"), F.col("_h").alias("h"), text.alias("text"))
-    lines = stored(line_table(filled), "lines")
     runs = stored(run_table(filled, min_words), "runs")
-    found = find_blocks(lines, min_words).unionByName(run_blocks(runs)).groupBy("doc_id", "h").agg(
-        F.collect_set(F.struct("first", "last")).alias("_blocks"), F.collect_set("partner").alias("partners"))
-    found = stored(found.withColumnsRenamed({"doc_id": "_id", "h": "_h"}), "line-blocks")
-    discard(lines)
+    found = find_blocks(runs).withColumnsRenamed({"doc_id": "_id", "h": "_h", "blocks": "_blocks"})
+    found = stored(found, "line-blocks")
     discard(runs)
     same = Window.partitionBy("_id", "_h").orderBy("_id")
     rows = keyed.withColumn("_copy", F.row_number().over(same) > 1).join(found, ["_id", "_h"], "left")
@@ -278,7 +238,7 @@ def remove_shared_blocks(docs: DataFrame, min_words: int = MIN_BLOCK_WORDS) -> D
     def rewrite(text, copy, blocks):
         lines = text.split("\n")
         kept, k, gone, words = [], -1, 0, 0
-        spans = _union(sorted((b["first"], b["last"]) for b in blocks)) if blocks is not None else []
+        spans = list(zip(blocks[::2].tolist(), blocks[1::2].tolist())) if blocks is not None else []
         if copy and len(text.encode().split()) >= min_words:
             spans = [(0, len(lines))]
         at = 0

@@ -263,7 +263,7 @@ def test_line_dedup(docs, texts):
 
 
 def test_line_dedup_patience(spark):
-    """Short lines inside a shared stretch go with it; a moved stretch is cut once."""
+    """Short lines inside a shared stretch go with it."""
     common = ["one two three four five six seven eight nine and a few more words", "x", "ten eleven twelve thirteen fourteen fifteen sixteen seventeen"]
     a = ["head of a", *common, "tail of a", "x", "eighteen nineteen twenty more words to fill the line here"]
     b = ["x", "start of b", *common, "another end"]
@@ -308,6 +308,43 @@ def test_line_dedup_equals_brute_force(spark):
     assert {r.doc_id: r.text for r in line_dedup.line_dedup(rows).collect()} == want
 
 
+def test_line_dedup_chains():
+    """The longest chain is found, all links are in some rising chain, and a block
+    is a stretch of one chain at equal distance in both documents."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 60):
+        places = rng.integers(0, 20, n)
+        best = [1] * n
+        for i in range(n):
+            best[i] += max((best[j] for j in range(i) if places[j] < places[i]), default=0)
+        longest = line_dedup._longest_chain(places)
+        assert len(longest) == max(best) and (np.diff(places[longest]) > 0).all() and (np.diff(longest) > 0).all()
+        chains = line_dedup._rising_chains(places)
+        assert sorted(i for c in chains for i in c.tolist()) == list(range(n))
+        assert all((np.diff(places[c]) > 0).all() for c in chains)
+        # as many chains as the longest sequence that never rises
+        least = [1] * n
+        for i in range(n):
+            least[i] += max((least[j] for j in range(i) if places[j] >= places[i]), default=0)
+        assert len(chains) == max(least)
+    # lines 0-2 and 3-4 swapped, line 9 repeats what 0 holds
+    first, last, at = (np.array(x) for x in ([0, 1, 3, 9], [1, 2, 4, 10], [5, 6, 0, 5]))
+    assert sorted(line_dedup.aligned_blocks(first, last, at)) == [(0, 2), (3, 4), (9, 10)]
+    assert line_dedup.aligned_blocks(first[:2], last[:2], np.array([5, 8])) == [(0, 1), (1, 2)]
+
+
+def test_line_dedup_repeated_rows_and_long_texts(spark):
+    """Repeated rows without an id, one line thousands of times, and a document
+    that spans several batches of links."""
+    passage = " ".join(f"w{i}" for i in range(25))
+    long = "\n".join(" ".join(f"d{i}w{k}" for k in range(20)) for i in range(15000))
+    rows = [(None, f"null {i % 2}\n{passage}") for i in range(400)] + [(1, "\n".join([passage] * 5000)), (2, long), (3, f"x\n{long}\ny")]
+    out = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in out if r.doc_id is None and r.text) in (["null 0", f"null 1\n{passage}"], [f"null 0\n{passage}", "null 1"])
+    assert {r.doc_id: r.text for r in out if r.doc_id} == {1: "", 2: long, 3: "x\ny"}
+    assert {r.doc_id: r.partners for r in out if r.doc_id and r.doc_id > 1} == {2: [], 3: [2]}
+
+
 def test_line_dedup_edges(edge, empty):
     out = line_dedup.remove_shared_blocks(edge)
     rows = out.collect()
