@@ -1,11 +1,13 @@
 """Mixing sources to target weights, block by block.
 
 The words of each source are packed, document after document in a hashed order,
-into blocks of a fixed length. Every source fills a number of slots that meets
-its target; each slot draws its output shard, so that a shard's counts over the
-sources are multinomial. The slots of a source run through its blocks in a
-pseudorandom permutation of block numbers (swap-or-not, computed per number),
-and slots and blocks are joined by number. Only DataFrame functions are used.
+into blocks of a fixed length. Every source gets a number of slots that meets
+its target, and deals them to the output shards at random: its counts over the
+shards are multinomial, and so are a shard's over the sources, given the totals.
+A shard's slots of a source follow those of the shards before it, run through
+the source's blocks in a pseudorandom permutation of block numbers (swap-or-not,
+computed per number), and are joined with the blocks by number. Only DataFrame
+functions are used.
 """
 
 from __future__ import annotations
@@ -42,16 +44,14 @@ def permuted(x: Column, n: Column, key: Column, inverse: bool = False) -> Column
 class Mix:
     """``docs``: rid, doc_id, sid, size, start (first word's place in its source);
     ``sources``: sid, source, source_size, target, n_blocks, n_slots, words;
+    ``draw``: shard, sid, n (slots drawn), begin (slots of the shards before);
     ``slots``: shard, sid, slot, block, length (words taken from the block's start)."""
 
     docs: DataFrame
     sources: DataFrame
+    draw: DataFrame
     slots: DataFrame
 
-    def shard_counts(self) -> DataFrame:
-        """The draw: how many slots each shard has from each source."""
-        return self.slots.groupBy("shard", "sid").agg(F.count("*").alias("slots"), F.sum("length").alias("words"))
-
     def pieces(self) -> DataFrame:
         """rid, block, lo, hi, first: the part [lo, hi) of a block that is the
         document's words from number ``first`` on."""
@@ -105,7 +105,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST_REP
     return rows.withColumn("target", target)
 
 
-def plan_mix(docs: DataFrame) -> Mix:
+def plan_mix(docs: DataFrame, slots_per_shard: int = SLOTS_PER_SHARD) -> Mix:
     """Lay out all documents and slots; ``docs`` has rid (unique), doc_id, source, text."""
     text = text_or_empty()
     rows = docs.select(
@@ -143,14 +143,24 @@ def plan_mix(docs: DataFrame) -> Mix:
     s = s.withColumn("more", more).withColumn("n_slots", F.col("rounds") * F.col("n_blocks") + F.col("more"))
     s = stored(s, "mix-sources")
     n_slots = s.agg(F.sum("n_slots")).first()[0] or 0
-    shards = max(1, -(-n_slots // SLOTS_PER_SHARD))
+    shards = max(1, -(-n_slots // slots_per_shard))
 
-    runs = s.where("n_slots > 0").withColumn(
-        "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / _RUN))))
+    # the draw: one shard per slot, counted per source and shard
+    runs = s.where("n_slots > 0").select("sid", "n_slots", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / _RUN))).alias("run"))
     # a stated number of partitions, as small rows here become many slots
-    runs = runs.repartition(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_slots >> 16), "sid", "run")
-    slots = runs.withColumn("slot", F.explode(F.sequence(
-        F.col("run") * _RUN, F.least((F.col("run") + 1) * _RUN, F.col("n_slots")) - 1)))
+    n_parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_slots >> 16)
+    tries = runs.repartition(n_parts, "sid", "run").select("sid", F.explode(F.sequence(
+        F.col("run") * _RUN, F.least((F.col("run") + 1) * _RUN, F.col("n_slots")) - 1)).alias("nth"))
+    shard = F.pmod(F.xxhash64(F.lit(SEED + 2), "sid", "nth"), F.lit(shards))
+    draw = tries.groupBy("sid", shard.alias("shard")).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    draw = stored(draw.withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "mix-draw")
+
+    held = s.withColumn("held", F.least("n_slots", F.lit(shards)))
+    drawn = attach(draw, held, ["sid"], "held", held.agg(F.sum("held")).first()[0] or 0)
+    slots = drawn.repartition(n_parts, "sid", "shard").withColumn(
+        "slot", F.explode(F.sequence("begin", F.col("begin") + F.col("n") - 1)))
     at = F.col("slot") % F.col("n_blocks")
     slots = slots.withColumn("at", at).withColumn("block", permuted(F.col("at"), F.col("n_blocks"), F.col("sid")))
     full = F.when(F.col("block") == F.col("n_blocks") - 1, F.col("short")).otherwise(F.lit(BLOCK_WORDS))
@@ -160,9 +170,8 @@ def plan_mix(docs: DataFrame) -> Mix:
     taken = F.when(last, F.least(F.col("rest") - done, full)).otherwise(full)
     # a whole block counts as one of full length, also where it is the short last one
     taken = F.when(taken == full, F.lit(BLOCK_WORDS)).otherwise(taken)
-    shard = F.pmod(F.xxhash64(F.lit(SEED + 2), "sid", "slot"), F.lit(shards))
-    slots = slots.select(shard.alias("shard"), "sid", "slot", "block", taken.cast("long").alias("length"))
-    return Mix(placed, s.select("sid", "source", "source_size", "target", "n_blocks", "n_slots", "words"), slots)
+    slots = slots.select("shard", "sid", "slot", "block", taken.cast("long").alias("length"))
+    return Mix(placed, s.select("sid", "source", "source_size", "target", "n_blocks", "n_slots", "words"), draw, slots)
 
 
 def mix_counts(docs: DataFrame) -> DataFrame:
@@ -184,6 +193,40 @@ def mix_counts(docs: DataFrame) -> DataFrame:
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+def mixed_blocks(docs: DataFrame, slots_per_shard: int = SLOTS_PER_SHARD) -> DataFrame:
+    """The mix as it is dealt: one row per slot with shard, source, slot, n_words, text.
+
+    ``text`` holds the words of the slot's block joined by one space: 128, fewer
+    where a source ends or meets its target. Nulls and repeated ids are treated
+    as in ``mix_counts``.
+    """
+    base = stored(docs.select(
+        F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+        "source", F.col("text").cast("string").alias("text")), "mix-input")
+    mix = plan_mix(base, slots_per_shard)
+    places = mix.docs.where("size > 0").select("rid", "sid", "start", "size")
+    words = F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0))
+    rows = base.join(places, "rid").select("sid", "start", "size", words.alias("w"))
+
+    def piece(block):
+        lo = F.greatest(F.col("start"), block * BLOCK_WORDS)
+        hi = F.least(F.col("start") + F.col("size"), (block + 1) * BLOCK_WORDS)
+        part = F.slice("w", (lo - F.col("start") + 1).cast("int"), (hi - lo).cast("int"))
+        return F.struct(block.alias("block"), lo.alias("lo"), part.alias("words"))
+
+    numbers = F.sequence(F.floor(F.col("start") / BLOCK_WORDS), F.floor((F.col("start") + F.col("size") - 1) / BLOCK_WORDS))
+    pieces = rows.select("sid", F.explode(F.transform(numbers, piece)).alias("p"))
+    blocks = pieces.groupBy("sid", F.col("p.block").alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("p.lo", "p.words"))).alias("parts"))
+    blocks = blocks.select("sid", "block", F.flatten("parts.words").alias("words"))
+    # both sides grow with the corpus
+    out = mix.slots.join(blocks.hint("merge"), ["sid", "block"])
+    out = out.withColumn("words", F.slice("words", F.lit(1), F.col("length").cast("int")))
+    sources = mix.sources.select("sid", "source", "n_slots")
+    out = stored(out.select("shard", "sid", "slot", F.size("words").alias("n_words"), F.array_join("words", " ").alias("text")), "mix-blocks")
+    return attach(out, sources, ["sid"], "n_slots", out.count()).select("shard", "source", "slot", "n_words", "text")
+
+
 @shielded("_rid", "_turn", "_pieces", "_words", "first", "times", "cut", "length", "p")
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents, with the columns of ``docs``.

@@ -190,12 +190,49 @@ def test_mixed_texts(spark, docs):
     assert got == {i: n for i, n in plan.items() if n}
 
 
+def test_mixed_blocks(docs, texts):
+    """Slots are dealt to shards as independent draws would, and their blocks hold the
+    source's words: each block once a pass, the target met to the word."""
+    rows = mixing.mixed_blocks(docs, slots_per_shard=64).collect()
+    plan = {r.source_size: r.target for r in mixing.mix_counts(docs).collect()}
+    by_source, words = {}, {}
+    for r in docs.select("doc_id", "source").collect():
+        words.setdefault(r.source, Counter()).update(brute.WORD.findall(texts[r.doc_id]))
+    for r in rows:
+        assert len(r.text.split(" ")) == r.n_words <= mixing.BLOCK_WORDS
+        by_source.setdefault(r.source, []).append(r)
+    shards = 1 + max(r.shard for r in rows)
+    assert shards == -(-len(rows) // 64) > 20
+    squares, cells = 0.0, 0
+    for source, mine in by_source.items():
+        assert sorted(r.slot for r in mine) == list(range(len(mine)))
+        total = sum(words[source].values())
+        target = round(plan[total])
+        assert sum(r.n_words for r in mine) == target
+        n_blocks = -(-total // mixing.BLOCK_WORDS)
+        mine.sort(key=lambda r: r.slot)
+        assert [r.shard for r in mine] == sorted(r.shard for r in mine), "a shard's slots follow those before it"
+        if target >= total:
+            once = Counter()
+            for r in mine[:n_blocks]:
+                once.update(r.text.split(" "))
+            assert once == words[source]
+        count = Counter(r.shard for r in mine)
+        expected = len(mine) / shards
+        squares += sum((count[k] - expected) ** 2 / expected for k in range(shards))
+        cells += shards - 1
+    assert abs(squares - cells) < 4 * math.sqrt(2 * cells)
+
+
 def test_mixing_edges(edge, empty):
     out = mixing.mix_counts(edge).collect()
     assert len(out) == len(EDGE)
     assert {r["size"] for r in out if r.doc_id in (1, 2, 3)} == {0}
     assert {r.source_size for r in out if r.doc_id is None or r.doc_id == 2} == {60}      # null is one source
     assert mixing.mix_counts(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+    assert mixing.mixed_blocks(empty).count() == 0
+    target = {round(r.target) for r in out if r.doc_id is None}
+    assert {sum(r.n_words for r in mixing.mixed_blocks(edge).collect() if r.source is None)} == target
     assert mixing.mixed_documents(edge).columns == edge.columns
 
 
