@@ -14,6 +14,8 @@ from .quantiles import BINS, exact_quantiles
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 DENSITY_POINTS = 200
+#: Linear bins of the pre-binned density.
+DENSITY_BINS = 4096
 DENSITY_CUT = 3.0
 
 
@@ -223,3 +225,46 @@ def density(
             (F.col("s") / scale).alias("density"),
         )
     )
+
+
+def binned_density(
+    df: DataFrame, value: str, points: int = DENSITY_POINTS, cut: float = DENSITY_CUT,
+    bins: int = DENSITY_BINS,
+) -> DataFrame:
+    """``density`` from ``bins`` linear bins: point, x, density, error_bound.
+
+    A row is shared between the two bin edges around it, so rows are read for
+    one count and one sum per bin, and kernels are computed per edge and point.
+    Between two edges the kernel is replaced by its chord, hence the bound on
+    the difference to ``density``. Nulls are left out; without two different
+    values the result is empty.
+    """
+    rows = df.select(_c(value).cast("double").alias("x")).where(F.col("x").isNotNull())
+    n, std, low, high = rows.agg(
+        F.count("*"), F.stddev_samp("x"), F.min("x"), F.max("x")
+    ).first()
+    if not n or not std:
+        return df.sparkSession.createDataFrame(
+            [], "point int, x double, density double, error_bound double")
+    band = std * n ** (-1 / 5)
+    start, stop = low - cut * band, high + cut * band
+    step = (stop - start) / (points - 1)
+    width = (high - low) / bins
+    place = (F.col("x") - low) / width
+    at = F.least(F.floor(place), F.lit(bins - 1))
+    mass = rows.groupBy(at.alias("bin")).agg(
+        F.count("*").alias("c"), F.sum(place - at).alias("right"))
+    at_point = start + F.col("point") * step
+
+    def kernel(edge: Column) -> Column:
+        u = (at_point - (low + edge * width)) / band
+        return F.exp(-0.5 * u * u)
+
+    share = (F.col("c") - F.col("right")) * kernel(F.col("bin")) + F.col("right") * kernel(F.col("bin") + 1)
+    spread = mass.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    root = float(np.sqrt(2 * np.pi))
+    # a chord is off by at most an eighth of the squared width times the steepest bend
+    bound = width**2 / 8 / (root * band**3)
+    return spread.groupBy("point").agg(F.sum(share).alias("s")).select(
+        "point", at_point.alias("x"), (F.col("s") / (n * band * root)).alias("density"),
+        F.lit(bound).alias("error_bound"))

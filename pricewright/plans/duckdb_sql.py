@@ -385,6 +385,36 @@ grid AS (
   FROM stats, (SELECT unnest(range(200)) AS i)
 )""",
     ),
+    "q_kde_binned": _with(
+        """SELECT point, round(x, 4) AS x, round(sum(
+  (c - rgt) * exp(-0.5 * pow((x - (lo + bin * width)) / band, 2)) + rgt * exp(-0.5 * pow((x - (lo + (bin + 1) * width)) / band, 2))
+) / (any_value(total) * any_value(band) * sqrt(2 * pi())), 10) AS density
+FROM grid, binned GROUP BY point, x""",
+        """stats AS (
+  SELECT count(*) AS total, min("AveragePrice") AS lo, max("AveragePrice") AS hi,
+         stddev_samp("AveragePrice") * pow(count(*), -0.2) AS band,
+         (max("AveragePrice") - min("AveragePrice")) / 4096 AS width
+  FROM market
+),
+placed AS (SELECT ("AveragePrice" - lo) / width AS place FROM market, stats),
+binned AS (
+  SELECT least(floor(place), 4095) AS bin, count(*) AS c, sum(place - least(floor(place), 4095)) AS rgt
+  FROM placed GROUP BY 1
+),
+grid AS (
+  SELECT i::int AS point, total, band, lo, width,
+         lo - 3 * band + i * ((hi + 3 * band) - (lo - 3 * band)) / 199 AS x
+  FROM stats, (SELECT unnest(range(200)) AS i)
+)""",
+    ),
+    "q_sketch_describe": _with(
+        "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS "column", probability, count("{c}") AS "count",
+  round(min("{c}")::double, 6) AS "min", round(max("{c}")::double, 6) AS "max", true AS "within"
+FROM market, (SELECT unnest([0.25, 0.5, 0.75])::double AS probability) GROUP BY probability"""
+            for c in _DESCRIBED
+        )
+    ),
     "q_fit_stats": _with(
         """SELECT 'index' AS stage, level AS name, 'index' AS statistic, round(idx, 6) AS "value" FROM freq
 UNION ALL SELECT 'min-max', 'month', 'min', lo::double FROM span

@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import calendar_columns, month_name, parse_date, type_code
-from ..operators import profile
+from ..operators import profile, sketches
 from ..operators.elastic import elastic_net_fits, grouped_moments, without_each
 from ..operators.encoders import DummyEncoder, PopulationScaler
 from ..operators.kernel import fit_kernel_regression
@@ -211,6 +211,24 @@ def q_kde(spark, sf_dir):
     return out.select("point", _r("x", 4).alias("x"), _r("density", 12).alias("density"))
 
 
+@query
+def q_kde_binned(spark, sf_dir):
+    """The density from 4,096 linear bins instead of all rows."""
+    out = profile.binned_density(market(spark, sf_dir), LABEL)
+    return out.select("point", _r("x", 4).alias("x"), _r("density", 10).alias("density"))
+
+
+@query
+def q_sketch_describe(spark, sf_dir):
+    """Counts and extremes beside sketched quartiles: whether each is within its rank error."""
+    rows = market(spark, sf_dir).select(*DESCRIBED).persist()
+    found = sketches.sketched_quantiles(rows, DESCRIBED, (0.25, 0.5, 0.75))
+    checked = sketches.rank_check(rows, found, DESCRIBED, 2 * sketches.rank_error())
+    exact = sketches.sketched_describe(rows, DESCRIBED).select(
+        "column", "count", _r("min", 6).alias("min"), _r("max", 6).alias("max"))
+    return exact.join(checked, "column").select("column", "probability", "count", "min", "max", "within")
+
+
 @query
 def q_fit_stats(spark, sf_dir):
     """What the fitted feature stages learned from the training rows."""
