@@ -99,7 +99,15 @@ def _z(i: int, name: str) -> str:
 # --- the search of the linear model: coordinate descent as a recursive table ---------------
 
 _SIZE = 10      # 1, eight features, label
-DESCENT = f"""
+# what a fold is fitted on: all other folds, or (one fit, called fold -1) all rows
+_OTHER_FOLDS = "SELECT fold, i, j, s AS own, sum(s) OVER (PARTITION BY i, j) - s AS t FROM products"
+_ALL_ROWS = "SELECT -1 AS fold, i, j, 0.0::double AS own, sum(s) AS t FROM products GROUP BY i, j"
+_GRID = "(VALUES (0.05::double), (0.1), (0.2), (0.5)) p(reg), (VALUES (0.01::double), (0.5), (1.0)) e(mix)"
+_RIDGE = "(SELECT 0.3::double AS reg, 0.0::double AS mix)"
+
+
+def _descent(others: str, points: str, tol: str) -> str:
+    return f"""
 vectors AS (
   SELECT bucket % 10 AS fold,
          [1.0, {', '.join(f"CASE WHEN s{i} > 0 THEN (x{i} - m{i}) / s{i} ELSE 0 END" for i in range(7))}, idx, y] AS v
@@ -109,9 +117,7 @@ products AS (
   SELECT fold, i, j, sum(v[i] * v[j]) AS s FROM vectors, range(1, {_SIZE + 1}) a(i), range(1, {_SIZE + 1}) b(j)
   GROUP BY fold, i, j
 ),
-others AS (
-  SELECT fold, i, j, s AS own, sum(s) OVER (PARTITION BY i, j) - s AS t FROM products
-),
+others AS ({others}),
 heads AS (
   SELECT fold, max(t) FILTER (i = 1 AND j = 1) AS n, list(t ORDER BY j) FILTER (i = 1) AS sums FROM others GROUP BY fold
 ),
@@ -142,7 +148,7 @@ settings AS (
            list(live ORDER BY i) FILTER (i BETWEEN 2 AND {_SIZE - 1}) AS live,
            list(CASE WHEN live THEN s ELSE 1 END ORDER BY i) FILTER (i BETWEEN 2 AND {_SIZE - 1}) AS scales
     FROM spreads GROUP BY fold) USING (fold),
-    (VALUES (0.05::double), (0.1), (0.2), (0.5)) p(reg), (VALUES (0.01::double), (0.5), (1.0)) e(mix)
+    {points}
 ),
 descent AS (
   SELECT fold, reg, mix, 0 AS step, [{', '.join(['0.0::double'] * (_SIZE - 2))}] AS beta, 0.0::double AS worst FROM settings
@@ -156,11 +162,11 @@ descent AS (
              s.r[step % {_SIZE - 2} + 1] - list_dot_product(s.a[step % {_SIZE - 2} + 1], beta)
              + s.a[step % {_SIZE - 2} + 1][step % {_SIZE - 2} + 1] * beta[step % {_SIZE - 2} + 1] AS rest
       FROM descent d JOIN settings s ON s.fold = d.fold AND s.reg = d.reg AND s.mix = d.mix
-      WHERE step < 500 * {_SIZE - 2} AND NOT (step > 0 AND step % {_SIZE - 2} = 0 AND worst <= 1e-10)))
+      WHERE step < 500 * {_SIZE - 2} AND NOT (step > 0 AND step % {_SIZE - 2} = 0 AND worst <= {tol})))
 ),
 fits AS (
   SELECT fold, reg, mix, sums[{_SIZE}] / n - list_dot_product(list_transform(sums[2:{_SIZE - 1}], lambda x: x / n), beta) AS b0,
-         beta, worst <= 1e-10 AS converged
+         beta, worst <= {tol} AS converged
   FROM (
     SELECT d.fold, d.reg, d.mix, d.worst, list_transform(d.beta, lambda b, i: b * sy / scales[i]) AS beta
     FROM descent d JOIN settings s ON s.fold = d.fold AND s.reg = d.reg AND s.mix = d.mix
@@ -175,6 +181,7 @@ scores AS (
   GROUP BY reg, mix
 )"""
 
+
 # The other settings of the regressor, as the library names them.
 LINEAR_SETTINGS = {
     "aggregationDepth": "2", "epsilon": "1.35", "featuresCol": "features", "fitIntercept": "True",
@@ -183,8 +190,20 @@ LINEAR_SETTINGS = {
 }
 
 
-def _recursive(body: str) -> str:
-    return _with(body, LINEAR.strip(), DESCENT.strip()).replace("WITH ", "WITH RECURSIVE ", 1)
+def _recursive(
+    body: str, *more: str, others: str = _OTHER_FOLDS, points: str = _GRID, tol: str = "1e-10"
+) -> str:
+    tables = [LINEAR.strip(), _descent(others, points, tol).strip(), *more]
+    return _with(body, *tables).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _fitted(body: str) -> str:
+    """With a table ``predicted`` of all rows under the ridge model of the training rows."""
+    vector = ", ".join(f"CASE WHEN s{i} > 0 THEN (x{i} - m{i}) / s{i} ELSE 0 END" for i in range(7))
+    predicted = f"""predicted AS (
+  SELECT row_key, bucket, y, b0 + list_dot_product(beta, [{vector}, idx]) AS p FROM raw, fit, fits
+)"""
+    return _recursive(body, predicted, others=_ALL_ROWS, points=_RIDGE, tol="1e-13")
 
 
 # --- trees of one split: every threshold of every feature --------------------------------
@@ -476,6 +495,36 @@ FROM (VALUES (0.05::double), (0.1), (0.2), (0.5)) r(reg_param),
     "q_cv_avg": _recursive(
         'SELECT reg AS "regParam", mix AS "elasticNetParam", round(avg_rmse, 4) AS avg_rmse FROM scores'
     ),
+    "q_cv_pipeline": _recursive(
+        'SELECT reg AS "regParam", mix AS "elasticNetParam", round(avg_rmse, 2) AS avg_rmse FROM scores'
+    ),
+    "q_linear_scored_in_sql": _fitted(
+        "SELECT row_key, round(p, 3) AS prediction FROM predicted WHERE bucket >= 70"
+    ),
+    "q_client_metrics": _fitted(
+        f"SELECT region AS client, {SCORES} FROM predicted JOIN market USING (row_key) GROUP BY region"
+    ),
+    "q_sparse_dummies": _with(
+        """SELECT row_key, (n + m - 1)::int AS size, array_to_string(list_concat([0], list_concat(
+  CASE WHEN r > 1 THEN [r - 1] ELSE [] END, CASE WHEN t > 1 THEN [n + t - 2] ELSE [] END)), ',') AS active
+FROM (SELECT row_key, region, "type" FROM market) JOIN places USING (region) JOIN kinds USING ("type"),
+  (SELECT count(*) AS n FROM places), (SELECT count(*) AS m FROM kinds)""",
+        """places AS (SELECT region, row_number() OVER (ORDER BY region) AS r FROM (SELECT DISTINCT region FROM market))""",
+        """kinds AS (SELECT "type", row_number() OVER (ORDER BY "type") AS t FROM (SELECT DISTINCT "type" FROM market))""",
+    ),
+    "q_sparse_users": """WITH users AS (
+  SELECT u, row_number() OVER (ORDER BY u) - 1 AS r FROM (SELECT DISTINCT user_id::varchar AS u FROM events WHERE user_id IS NOT NULL)
+), kinds AS (
+  SELECT k, row_number() OVER (ORDER BY k) - 1 AS r FROM (SELECT DISTINCT event_type AS k FROM events WHERE event_type IS NOT NULL)
+), widths AS (
+  SELECT greatest((SELECT count(*) FROM users) - 1, 0) AS a, greatest((SELECT count(*) FROM kinds) - 1, 0) AS b
+)
+SELECT event_id, (a + b)::int AS size, array_to_string(list_concat(
+  CASE WHEN users.r > 0 THEN [users.r - 1] ELSE [] END, CASE WHEN kinds.r > 0 THEN [a + kinds.r - 1] ELSE [] END), ',') AS active
+FROM events LEFT JOIN users ON u = user_id::varchar LEFT JOIN kinds ON k = event_type, widths""",
+    "q_region_effects": _with(
+        'SELECT region, round(avg("AveragePrice"), 2) AS prediction FROM market WHERE bucket < 70 GROUP BY region'
+    ),
     "q_best_params": _recursive(
         """SELECT 'regParam' AS param, reg::varchar AS "value" FROM best
 UNION ALL SELECT 'elasticNetParam', mix::varchar FROM best

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -32,14 +32,16 @@ from ..operators.models import (
     parameter_rows,
     random_forest,
 )
+from ..operators.model_sql import feature_statements, prediction_sql
 from ..operators.persist import load_model, save_model, score_and_evaluate
+from ..operators.sparse import fit_levels, vector_parts
 from ..operators.split import fold_of, split, train_part
-from ..operators.tuning import log_sweep, score_frame, sweep
+from ..operators.tuning import cross_validate, log_sweep, score_frame, sweep
 from ..operators.trees import fit_boosted, fit_forest, fit_tree
 from ..session import new_path
 from ..sources import market, read_market_csv, rows_per_file, table, write_market_csv
 from ..streaming import requests_by_client, score_stream, size_histogram
-from ..streaming.scoring import read_telemetry
+from ..streaming.scoring import Scored, read_telemetry
 from .comparison import BASELINES, baseline_predictions, compare, mean_predictors
 from .pipelines import (
     FOLDS,
@@ -50,6 +52,8 @@ from .pipelines import (
     comparison_expressions,
     feature_sql,
     fit_comparison_features,
+    linear_features,
+    linear_regression,
 )
 from .training import (
     fit_features,
@@ -157,6 +161,36 @@ def q_dummies_all(spark, sf_dir):
 # --- profiling ----------------------------------------------------------------------------
 
 
+def _spelled_vector(encoded: DataFrame, key: str) -> DataFrame:
+    """Key, size of the vector, and the places it holds as text."""
+    parts = encoded.select(key, vector_parts("features").alias("p"))
+    return parts.select(key, "p.size", F.array_join("p.indices", ",").alias("active"))
+
+
+@query
+def q_sparse_dummies(spark, sf_dir):
+    """Total volume and the dummies of region and type in one sparse vector."""
+    rows = market(spark, sf_dir).select("row_key", "Total Volume", "region", "type")
+    return _spelled_vector(fit_levels(rows, ["region", "type"]).encode(rows, ["Total Volume"]), "row_key")
+
+
+@query
+def q_sparse_users(spark, sf_dir):
+    """Dummies of every user and kind of event: as many places as there are users."""
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return _spelled_vector(fit_levels(rows, ["user_id", "event_type"]).encode(rows), "event_id")
+
+
+@query
+def q_region_effects(spark, sf_dir):
+    """Least squares on the sparse dummies of the region: the mean price of each."""
+    train = train_part(market(spark, sf_dir)).select(LABEL, "region")
+    levels = fit_levels(train, ["region"])
+    model = least_squares(label=LABEL).fit(levels.encode(train).select(LABEL, "features"))
+    fitted = model.transform(levels.encode(train.select("region").distinct()))
+    return fitted.select("region", _r("prediction", 2).alias("prediction"))
+
+
 @query
 def q_profile_info(spark, sf_dir):
     return profile.column_info(market(spark, sf_dir))
@@ -342,6 +376,20 @@ def q_cv_avg(spark, sf_dir):
     return score_frame(spark, scores).withColumn("avg_rmse", _r("avg_rmse", 4))
 
 
+@query
+def q_cv_pipeline(spark, sf_dir):
+    """The same search by refitting the whole pipeline, features included, in every fold."""
+    train = train_part(market(spark, sf_dir)).withColumn("fold", fold_of(FOLDS))
+    rows = model_columns(train, ["fold"]).persist()
+    try:
+        # near the exact minimum, so that two engines round alike
+        build = partial(linear_regression, tol=1e-13)
+        scores = cross_validate(linear_features(["fold"]), build, linear_grid(), rows, LABEL, folds=FOLDS)
+    finally:
+        rows.unpersist()
+    return score_frame(spark, scores).withColumn("avg_rmse", _r("avg_rmse", 2))
+
+
 @query
 def q_elastic_net(spark, sf_dir):
     """Intercept and coefficients of all 120 fits of the search, fitted inside Spark."""
@@ -526,6 +574,14 @@ def q_knn(spark, sf_dir):
     return out.withColumn("prediction", _r("prediction", 4))
 
 
+@query
+def q_knn_nearest(spark, sf_dir):
+    """The single nearest training row for every test row."""
+    with _comparison(spark, sf_dir) as (_, train, test):
+        out = knn_regression(test, train, 1)
+    return out.withColumn("prediction", _r("prediction", 4))
+
+
 @query
 def q_knn_lsh(spark, sf_dir):
     """Five near training rows for every test row, by hashing; exact distances."""
@@ -583,6 +639,18 @@ def q_score_saved(spark, sf_dir):
     return score_and_evaluate(load_model(path), test, LABEL)
 
 
+@query
+def q_linear_scored_in_sql(spark, sf_dir):
+    """A ridge price model fitted, saved, loaded and written out as SQL, over the test rows."""
+    train, test = split(market(spark, sf_dir))
+    # ridge has a closed form, so two engines round alike
+    path = save_model(fit_linear(train, keep=["row_key"], elasticNetParam=0.0), new_path(spark, "model"))
+    model = load_model(path)
+    for statement in feature_statements(model):
+        test = spark.sql(statement.replace("__THIS__", "{rows}"), rows=test)
+    return test.select("row_key", _r(F.expr(prediction_sql(model)), 3).alias("prediction"))
+
+
 # --- ledger -------------------------------------------------------------------------------
 
 
@@ -613,12 +681,20 @@ def q_best_run(spark, sf_dir):
 # --- scoring ------------------------------------------------------------------------------
 
 
-def _scored_stream(spark, sf_dir) -> DataFrame:
+def _client() -> Column:
+    return F.regexp_extract("file", "client=([^/]+)/", 1).alias("client")
+
+
+def _score_uploads(spark, sf_dir, **params) -> Scored:
     rows = market(spark, sf_dir)
-    model = fit_linear(train_part(rows))
+    model = fit_linear(train_part(rows), **params)
     drop = new_path(spark, "uploads")
     write_market_csv(rows, drop, by="region")
-    return read_telemetry(spark, score_stream(spark, model, drop, new_path(spark, "scored")))
+    return score_stream(spark, model, drop, new_path(spark, "scored"))
+
+
+def _scored_stream(spark, sf_dir) -> DataFrame:
+    return read_telemetry(spark, _score_uploads(spark, sf_dir))
 
 
 @query
@@ -630,10 +706,15 @@ def q_stream_score(spark, sf_dir):
 @query
 def q_telemetry(spark, sf_dir):
     """Rows scored per client folder."""
-    client = F.regexp_extract("file", "client=([^/]+)/", 1)
-    return _scored_stream(spark, sf_dir).groupBy(client.alias("client")).agg(
-        F.sum("rows").alias("rows")
-    )
+    return _scored_stream(spark, sf_dir).groupBy(_client()).agg(F.sum("rows").alias("rows"))
+
+
+@query
+def q_client_metrics(spark, sf_dir):
+    """Quality of the streamed predictions of a ridge model per client folder."""
+    scored = spark.read.parquet(_score_uploads(spark, sf_dir, elasticNetParam=0.0).predictions)
+    return _rounded_metrics(
+        evaluate(scored.select(_client(), LABEL, "prediction"), LABEL, "prediction", "client"), "client")
 
 
 @query

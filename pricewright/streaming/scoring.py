@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from ..functions.scalars import micros_per_row
 from ..operators.metrics import metric_columns
@@ -35,17 +35,26 @@ class Scored:
         return cls(f"{path}/predictions", f"{path}/telemetry", f"{path}/checkpoint")
 
 
-def _telemetry(predictions: DataFrame, label: str, seconds: float, batch_id: int) -> DataFrame:
-    """One row per file; the time is that of the batch the file was part of."""
+def _write_predictions(scored: DataFrame, label: str, path: str) -> int:
+    """Write the predictions and return their number, counted by the writing job itself."""
+    seen = Observation()
+    scored.select("file", "bytes", F.col(f"`{label}`"), "prediction").observe(
+        seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
+
+
+def _telemetry(
+    predictions: DataFrame, label: str, seconds: float, batch_id: int, total: int
+) -> DataFrame:
+    """One row per file; the time is that of the batch of ``total`` rows the file was part of."""
     rows, *quality = metric_columns(F.col(f"`{label}`"), F.col("prediction"))
     per_file = predictions.groupBy("file").agg(
         F.count("*").alias("rows"), F.max("bytes").alias("bytes"), *quality
     )
-    total = predictions.agg(F.count("*").alias("n"))
     return per_file.select(
         "file", F.lit(batch_id).cast("long").alias("batch_id"), "rows", "bytes",
         F.lit(seconds).alias("seconds"),
-        micros_per_row(F.lit(seconds), total.scalar()).alias("micros_per_row"),
+        micros_per_row(F.lit(seconds), F.lit(total)).alias("micros_per_row"),
         "mae", "mse", "rmse", "r2",
     )
 
@@ -75,13 +84,10 @@ def score_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         begun = time.monotonic()
         part = f"{out.predictions}/batch_id={batch_id}"
-        scored = scorer.transform(batch)
-        scored.select("file", "bytes", F.col(f"`{label}`"), "prediction").write.mode(
-            "overwrite"
-        ).parquet(part)
+        total = _write_predictions(scorer.transform(batch), label, part)
         seconds = time.monotonic() - begun
         done = batch.sparkSession.read.parquet(part)
-        _telemetry(done, label, seconds, batch_id).drop("batch_id").write.mode(
+        _telemetry(done, label, seconds, batch_id, total).drop("batch_id").write.mode(
             "overwrite"
         ).parquet(f"{out.telemetry}/batch_id={batch_id}")
 
@@ -137,11 +143,9 @@ def score_files(
         F.col("_metadata.file_size").alias("bytes"),
     )
     scorer = for_scoring(model, handle_invalid, keep=("file", "bytes"))
-    scorer.transform(rows).select("file", "bytes", F.col(f"`{label}`"), "prediction").write.mode(
-        "overwrite"
-    ).parquet(target)
+    total = _write_predictions(scorer.transform(rows), label, target)
     seconds = time.monotonic() - begun
-    done = _telemetry(spark.read.parquet(target), label, seconds, 0)
+    done = _telemetry(spark.read.parquet(target), label, seconds, 0, total)
     listed = _listed(spark, source).select(F.col("file").alias("id"), F.col("bytes").alias("size"))
     joined = listed.join(done.withColumn("id", _plain("file")), "id", "left")
     return joined.select(
