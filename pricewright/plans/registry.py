@@ -566,6 +566,16 @@ def q_rff_regression(spark, sf_dir):
     return score_and_evaluate(model, test, "label")
 
 
+@query
+def q_kernel_certificate(spark, sf_dir):
+    """Both kernel widths: rounds, objective, its proven lower bound and whether they met."""
+    with _comparison(spark, sf_dir) as (_, train, _test):
+        fits = {str(g): fit_kernel_regression(train, gamma=g) for g in ("scale", 1.0)}
+    return spark.createDataFrame(
+        [(g, len(f.objective), min(f.objective), f.bound, f.gap, f.converged) for g, f in fits.items()],
+        "gamma string, rounds int, objective double, bound double, gap double, converged boolean")
+
+
 @query
 def q_knn(spark, sf_dir):
     """Five nearest of all training rows for every test row."""
