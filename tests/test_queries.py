@@ -12,6 +12,7 @@ QUERIES = entry_points.queries()
 SQL = entry_points.oracle_sql()
 CHEAP_WITHOUT_SQL = (
     "q_params", "q_dt", "q_runs", "q_knn_lsh", "q_tree_unlimited", "q_boosted_second_order", "q_forest_grown_together",
+    "q_knn_nearest", "q_kernel_certificate",
 )
 
 
