@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -62,21 +62,25 @@ def model_columns(train: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def fit_features(train: DataFrame, keep: Sequence[str] = ()) -> PipelineModel:
-    """Fit the feature stages; the source is read once for all of them."""
-    rows = model_columns(train, keep).persist()
+    """Fit the feature stages; the source is read, and its dates parsed, once for all of them."""
+    project, *learned = linear_features(keep).getStages()
+    rows = project.transform(model_columns(train, keep)).persist()
     try:
-        return linear_features(keep).fit(rows)
+        return PipelineModel(stages=[project, *Pipeline(stages=learned).fit(rows).stages])
     finally:
         rows.unpersist()
 
 
 def fit_linear(train: DataFrame, keep: Sequence[str] = (), **params) -> PipelineModel:
-    """Fit features and regressor; the source is read once for all stages."""
-    rows = model_columns(train, keep).persist()
+    """Fit features and regressor; the source is read, and its dates parsed, once for all stages."""
+    features, regressor = linear_pipeline(keep, **params).getStages()
+    project, *learned = features.getStages()
+    rows = project.transform(model_columns(train, keep)).persist()
     try:
-        return linear_pipeline(keep, **params).fit(rows)
+        fitted = Pipeline(stages=[*learned, regressor]).fit(rows).stages
     finally:
         rows.unpersist()
+    return PipelineModel(stages=[PipelineModel(stages=[project, *fitted[:-1]]), fitted[-1]])
 
 
 def search(train: DataFrame, folds: int = FOLDS) -> tuple[PipelineModel, list[dict]]:
